@@ -7,9 +7,12 @@ from pyspark.sql import functions as F
 
 from checks.tables import SQL_REGISTRY, query, rounded, supplier_registry, table
 from checks.trend import SUPPLIER_TRENDS, supplier_trends
+from tidemark.functions import labels
 from tidemark.functions.geometry import circle_polygon
 from tidemark.operators import boundary, scaling, zonal
+from tidemark.plans import extract
 from tidemark.plans.extract import cell_membership, daily_series
+from tidemark.session import new_folder
 from tidemark.sources.registry import choose_datasets, finest_scale, small_table, uniqueness
 
 # Outlines over the plane of account balance / 100 (x) and nation (y): a square with a
@@ -106,6 +109,22 @@ def zonal_coarsened(spark: SparkSession, d: str) -> DataFrame:
     return zonal.coarsen(members, ["zone"], 50).select("zone", "cell_id", "stride")
 
 
+@query(
+    f"""WITH {_edges_sql(True)}, {_ORDERS} SELECT zone AS key, CASE zone WHEN 'strips' THEN 'part-' || part_index ELSE 'all' END AS part,
+  date, round(avg(price), 6) AS "ERA5_price" FROM daily JOIN cell_zone USING (cell_id)
+WHERE date >= '1996-01-01' AND date < '1998-01-01' AND zone <> 'wedge' GROUP BY ALL"""
+)
+def exported_areas(spark: SparkSession, d: str) -> DataFrame:
+    """Two of three zones exported to files, one of them by part, and read again."""
+    path = new_folder(spark, "export")
+    boundaries = zones(spark).select(F.col("zone").alias("key"), (F.col("zone") == "strips").alias("multipart"), "polygons")
+    extract.export_areas(
+        {"ERA5": _orders(spark, d)}, {"ERA5": cells(spark, d)}, {"ERA5": ["price"]}, boundaries,
+        "1996-01-01", "1998-01-01", path, keys=["frame", "strips"], tile=5.0,
+    )
+    return rounded(spark.read.parquet(f"{path}/parquet"), "ERA5_price")
+
+
 @query(
     f"""WITH {_edges_sql(True)}, {_ORDERS}, served AS (SELECT *, zone = 'strips' AS only_era5 FROM cell_zone),
 a AS (SELECT zone AS key, part_index AS part, date, avg(price) AS p FROM daily JOIN served USING (cell_id)
@@ -256,6 +275,21 @@ def split_parts(spark: SparkSession, d: str) -> DataFrame:
     return zonal.split_parts(boundary.merge_units(_matched(spark, d)), ["key"]).select("key", "part_index")
 
 
+@query(
+    f"""WITH {_LAYER}, ranked AS (SELECT key, key % 2 = 0 AS multipart, count(*) AS n FROM matched GROUP BY key), kept AS (
+  SELECT key, multipart, n, unnest(range(0, CASE WHEN multipart THEN least(n, 8) ELSE 1 END)) AS i FROM ranked)
+SELECT key, CASE WHEN multipart THEN 'part-' || i ELSE 'all' END AS part,
+  CAST(CASE WHEN multipart THEN 1 ELSE n END AS INTEGER) AS n_polygons,
+  CASE WHEN multipart THEN key || '_part-' || i ELSE CAST(key AS VARCHAR) END AS stem FROM kept"""
+)
+def zones_by_key(spark: SparkSession, d: str) -> DataFrame:
+    """Parts of multipart keys, whole outlines of the others, with their file names."""
+    merged = boundary.merge_units(_matched(spark, d)).withColumn("multipart", F.col("key") % 2 == 0)
+    out = extract.zones_by_key(merged)
+    stem = labels.file_stem(F.col("key").cast("string"), F.col("part"))
+    return out.select("key", "part", F.size("polygons").alias("n_polygons"), stem.alias("stem"))
+
+
 _FALLBACK = f"""WITH {SQL_REGISTRY}, {_LAYER}, first AS (SELECT key, count(*) AS n FROM matched GROUP BY key),
 second AS (SELECT DISTINCT c_nationkey AS key FROM customer),
 placed AS (SELECT key, CASE WHEN first.key IS NOT NULL THEN 'primary' WHEN second.key IS NOT NULL THEN 'secondary'

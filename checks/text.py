@@ -39,9 +39,9 @@ from tidemark.spec import DEFAULT_SPEC, PRESENT
     f"""{SUPPLIER_TRENDS}, shown AS (SELECT *, CASE WHEN key % 9 = 0 THEN NULL ELSE slope_per_year END AS sl,
     CASE WHEN key % 13 = 0 THEN NULL ELSE p_value END AS pv FROM trends)
 SELECT key, variable,
-  CASE WHEN sl IS NULL THEN '—' ELSE CASE WHEN sl > 0 THEN '+' ELSE '' END || printf('%.3f', sl) END AS slope_text,
+  CASE WHEN sl IS NULL THEN '—' ELSE CASE WHEN sl > 0 THEN '+' ELSE '' END || printf('%.3f', round(sl, 3)) END AS slope_text,
   CASE WHEN pv IS NULL THEN '—' WHEN pv < 0.001 THEN 'p < 0.001' ELSE 'p = ' || printf('%.3f', pv) END AS p_text,
-  CASE WHEN sl IS NULL THEN '—' ELSE CASE WHEN sl * (n - 1) > 0 THEN '+' ELSE '' END || printf('%.2f', sl * (n - 1)) END AS total_text
+  CASE WHEN sl IS NULL THEN '—' ELSE CASE WHEN sl * (n - 1) > 0 THEN '+' ELSE '' END || printf('%.2f', round(sl * (n - 1), 2)) END AS total_text
 FROM shown"""
 )
 def format_labels(spark: SparkSession, d: str) -> DataFrame:

@@ -292,13 +292,14 @@ def summary_document(spark: SparkSession, d: str) -> DataFrame:
 part_years AS (SELECT key, part, year(date) AS year FROM canonical GROUP BY ALL HAVING count(*) >= {MIN_ROWS}),
 part_counts AS (SELECT key, count(*) AS n_part_years FROM part_years GROUP BY ALL),
 seasons AS (SELECT key, count(DISTINCT (year(date + INTERVAL 1 MONTH), quarter(date + INTERVAL 1 MONTH))) AS n_seasons
-  FROM combined GROUP BY ALL)
-SELECT key, CAST(min(year) AS INTEGER) AS start_year, CAST(max(year) AS INTEGER) AS end_year,
-  CAST(count(*) AS INTEGER) AS n_annual, any_value(CAST(n_seasons AS INTEGER)) AS n_seasonal,
-  any_value((SELECT round(slope_per_year, 6) FROM trends t WHERE t.key = a.key AND t.variable = 'tmean_c')) AS tmean_slope,
-  any_value((SELECT CAST(count(*) AS INTEGER) FROM trends t WHERE t.key = a.key)) AS n_trends,
-  any_value(CAST(n_part_years AS INTEGER)) AS n_part_years
-FROM annual a JOIN part_counts USING (key) JOIN seasons USING (key) GROUP BY key"""
+  FROM combined GROUP BY ALL),
+years AS (SELECT key, min(year) AS start_year, max(year) AS end_year, count(*) AS n_annual FROM annual GROUP BY ALL),
+tests AS (SELECT key, count(*) AS n_trends, max(CASE variable WHEN 'tmean_c' THEN slope_per_year END) AS slope
+  FROM trends GROUP BY ALL)
+SELECT key, start_year, end_year, CAST(coalesce(n_annual, 0) AS INTEGER) AS n_annual,
+  CAST(n_seasons AS INTEGER) AS n_seasonal, round(slope, 6) AS tmean_slope,
+  CAST(coalesce(n_trends, 0) AS INTEGER) AS n_trends, CAST(coalesce(n_part_years, 0) AS INTEGER) AS n_part_years
+FROM seasons LEFT JOIN years USING (key) LEFT JOIN tests USING (key) LEFT JOIN part_counts USING (key)"""
 )
 def summary_document_facts(spark: SparkSession, d: str) -> DataFrame:
     """Facts read from inside the nested documents."""

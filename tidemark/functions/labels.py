@@ -90,3 +90,13 @@ def candidate_stems(key: Column, parts: int = 10) -> Column:
         lambda i: F.concat(key, F.lit("_part-"), i.cast("string")),
     )
     return F.concat(F.array(key), numbered)
+
+
+def part_label(multipart: Column, index: Column) -> Column:
+    """``part-0`` and so on for keys with several parts, ``all`` for the rest."""
+    return F.when(multipart, F.concat(F.lit("part-"), index.cast("string"))).otherwise("all")
+
+
+def file_stem(key: Column, part: Column) -> Column:
+    """The file name of a key, with its part where it has several."""
+    return F.when(part == "all", key).otherwise(F.concat_ws("_", key, part))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidemark import fixed_values as fixed
 from tidemark.functions.labels import humanize, region_of, state_search_key
 from tidemark.functions.values import celsius_change_to_fahrenheit, celsius_to_fahrenheit
+from tidemark.operators.scaling import with_group
 from tidemark.spec import HEADLINE, TEMPERATURES
 
 METADATA = ("label", "unit", "slope_unit", "kind", "decimals", "description")
@@ -109,8 +110,7 @@ def region_strip(rows: DataFrame) -> DataFrame:
         F.greatest(F.lit(1), F.ceil(F.max("total_f"))).alias("axis_max"),
         F.least(F.lit(0), F.floor(F.min("total_f"))).alias("axis_min"),
     )
-    # The axis is a single row.
-    return known.join(F.broadcast(axis)).orderBy("region", "total_f")
+    return with_group(known, axis, []).orderBy("region", "total_f")
 
 
 def headline_first(trend_rows: DataFrame, keys: Sequence[str], order: Sequence[str] = HEADLINE) -> DataFrame:

@@ -99,8 +99,8 @@ def with_group(df: DataFrame, per_group: DataFrame, by: Sequence[str]) -> DataFr
     The group side is an aggregate; Spark broadcasts it when its measured size allows,
     and splits a skewed group otherwise.
     """
-    if not by:
-        return df.join(F.broadcast(per_group))  # a single row
+    if not by:  # a single row, read as scalar subqueries
+        return df.withColumns({c: per_group.select(c).scalar() for c in per_group.columns})
     renamed = per_group.withColumnsRenamed({k: f"_g_{k}" for k in by})
     same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_g_{k}")) for k in by])
     return df.join(renamed, same).drop(*[f"_g_{k}" for k in by])

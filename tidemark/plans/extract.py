@@ -8,15 +8,34 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.calendar import in_dates
+from tidemark.functions.labels import part_label
 from tidemark.operators.canonical import coalesce_dates, merge_sources, present_by_dataset_choice
-from tidemark.operators.zonal import assign_cells, coarsen, zonal_mean
+from tidemark.operators.zonal import assign_cells, coarsen, split_parts, zonal_mean
+from tidemark.session import broadcast_within
 from tidemark.sources.registry import only_keys
+from tidemark.sources.sinks import write_daily
+from tidemark.spec import MAX_PARTS
+
+
+#: a cell and its zone take some 60 bytes, so a full broadcast is about 120 MB
+MAX_BROADCAST_CELLS = 2_000_000
 
 
 class UnknownArea(ValueError):
     """A name or key that no boundary matches."""
 
 
+def zones_by_key(boundaries: DataFrame, max_parts: int | None = MAX_PARTS) -> DataFrame:
+    """``key, part, polygons``: one zone per part of a multipart key, one zone ``all`` for others.
+
+    ``boundaries`` has ``key, multipart, polygons``.
+    """
+    several = split_parts(boundaries.where("multipart"), ["key", "multipart"], max_parts)
+    whole = boundaries.where(~F.col("multipart")).select("key", "multipart", F.lit(0).alias("part_index"), "polygons")
+    label = part_label(F.col("multipart"), F.col("part_index"))
+    return several.unionByName(whole).select("key", label.alias("part"), "polygons")
+
+
 def daily_series(
     grids: Mapping[str, DataFrame],
     members: DataFrame,
@@ -25,6 +44,7 @@ def daily_series(
     end: str,
     ids: Sequence[str] = ("key", "part"),
     barred: DataFrame | None = None,
+    max_broadcast: int = MAX_BROADCAST_CELLS,
 ) -> DataFrame:
     """Zonal means of several data sources merged to one row per zone and date.
 
@@ -32,6 +52,10 @@ def daily_series(
     ``members`` has ``(dataset, cell_id, *ids)``: each source has its own grid.
     ``barred`` lists ``(dataset, key)`` a source does not serve. The date range is half
     open and is filtered on the scan.
+
+    The membership of up to ``max_broadcast`` cells goes to every task, and the daily
+    cells stay where they are read. Beyond that the join shuffles by cell; a table that
+    is bucketed by ``cell_id`` avoids this too.
     """
     means = []
     for name, cells in grids.items():
@@ -39,7 +63,8 @@ def daily_series(
         if barred is not None:
             zone = zone.join(barred, ["dataset", "key"], "left_anti")
         inside = cells.where(in_dates(F.col("date"), start, end))
-        mean = zonal_mean(inside, zone.drop("dataset"), ids, bands[name])
+        zone = broadcast_within(zone.select("cell_id", *ids), max_broadcast)
+        mean = zonal_mean(inside, zone, ids, bands[name])
         means.append(mean.withColumnsRenamed({b: f"{name}_{b}" for b in bands[name]}))
     merged = merge_sources(means)
     if "key" in ids:
@@ -79,3 +104,22 @@ def area_series(
         raise UnknownArea(f"no boundary for {key!r}")
     mine = only_keys(members, [key])
     return daily_series(grids, mine, bands, start, end, barred=barred).orderBy("part", "date")
+
+
+def export_areas(
+    grids: Mapping[str, DataFrame],
+    grid_cells: Mapping[str, DataFrame],
+    bands: Mapping[str, Sequence[str]],
+    boundaries: DataFrame,
+    start: str,
+    end: str,
+    path: str,
+    keys: Sequence[str] | None = None,
+    barred: DataFrame | None = None,
+    tile: float = 1.0,
+    max_cells: int | None = None,
+) -> None:
+    """Write the daily series of all keys, or of some, in one folder per key and part."""
+    zones = zones_by_key(only_keys(boundaries, keys))
+    members = cell_membership(grid_cells, zones, tile=tile, max_cells=max_cells)
+    write_daily(daily_series(grids, members, bands, start, end, barred=barred).drop("_present"), path)

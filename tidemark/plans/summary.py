@@ -148,8 +148,10 @@ def summary_documents(tables: SummaryTables, registry: DataFrame) -> DataFrame:
     docs = registry.select(KEY, "unit_name", "state", "multipart").join(seasonal, KEY)
     for piece in (annual, anomaly, trend, stripe, headline, decomposition, part_map, period):
         docs = docs.join(piece, KEY, "left")
+    lists = {c: F.coalesce(c, F.array()) for c in ("annual", "anomalies", "trends", "stripes")}
     return docs.withColumns(
         {
+            **lists,
             "parts": F.coalesce(F.map_keys("part_summaries"), F.array().cast("array<string>")),
             "period": F.coalesce(
                 "period",

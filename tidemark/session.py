@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: what results depend on, and what a job at scale wants; sizes are left to AQE
 SETTINGS = {
@@ -41,3 +42,12 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     path = new_folder(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def broadcast_within(df: DataFrame, max_rows: int) -> DataFrame:
+    """Mark for broadcast if the frame is counted to have at most ``max_rows`` rows.
+
+    Beyond that the frame is returned unmarked, and the join shuffles.
+    """
+    few = df.limit(max_rows + 1).count() <= max_rows
+    return F.broadcast(df) if few else df

@@ -13,8 +13,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.canonical import present_by_dataset_choice
+from tidemark.session import broadcast_within
 from tidemark.spec import DEFAULT_SPEC, PRESENT, RAW_COLUMNS, SeriesSpec
 
+#: per-file tables up to this many rows are sent to every task: some 300 bytes each
+MAX_BROADCAST_FILES = 500_000
+
 #: ``<key>/<part>.<suffix>``
 LAYOUT = r"([^/]+)/([^/]+?)(?:\.csv\.gz|\.csv|\.parquet)$"
 
@@ -54,36 +58,46 @@ def _read_parquet(spark: SparkSession, root: str, layout: str, columns: Sequence
 
 
 def _read_csv(
-    spark: SparkSession, paths: Sequence[str], layout: str, columns: Sequence[str], spec: SeriesSpec
+    spark: SparkSession, root: str, glob: str, layout: str, columns: Sequence[str], spec: SeriesSpec
 ) -> DataFrame:
     """CSV files by column name, whatever the order and choice of columns in each.
 
-    Spark matches CSV columns by position, so files are grouped by header line first.
-    There are as many groups as kinds of header, a handful. Finding the headers reads
-    the text once more; Parquet has no such cost.
+    Spark's CSV reader matches columns by position over all files, so lines are read as
+    text and each column is looked up in the header of its own file. The values are
+    dates and numbers, without commas of their own. Finding the headers reads the text
+    once more; Parquet has no such cost.
     """
-    lines = spark.read.text(list(paths)).select(F.col("_metadata.file_path").alias("path"), "value")
-    fields = F.transform(F.split("value", ","), lambda c: F.trim(F.regexp_replace(c, '"', "")))
+    reader = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", glob)
+    lines = reader.text(root).select(F.col("_metadata.file_path").alias("_path"), "value")
+
+    def fields(line: str) -> Column:
+        return F.split(F.regexp_replace(line, r'[" \r]', ""), ",")
+
     headers = (
-        lines.where(F.array_contains(fields, "date"))
-        .groupBy("path")
-        .agg(F.first(F.array_join(fields, ",")).alias("header"))
-        .groupBy("header")
-        .agg(F.collect_list("path").alias("paths"))
-        .collect()
+        lines.where(F.array_contains(fields("value"), "date"))
+        .groupBy("_path")
+        .agg(F.first("value").alias("_header"))
+        .withColumn("_names", fields("_header"))
+    )
+    rows = lines.join(broadcast_within(headers, MAX_BROADCAST_FILES), "_path").where(
+        F.col("value") != F.col("_header")
+    )
+    split = rows.withColumn("_cells", fields("value"))
+
+    def cell(name: str, kind: str) -> Column:
+        at = F.array_position("_names", F.lit(name)).cast("int")
+        return F.when(at > 0, F.try_element_at("_cells", at)).try_cast(kind).alias(name)
+
+    bits = [
+        F.when(F.array_contains("_names", c), F.lit(spec.source_mask([c])).cast("long")).otherwise(F.lit(0).cast("long"))
+        for c in spec.source_columns
+    ]
+    return split.select(
+        *_key_part(F.col("_path"), layout),
+        cell("date", "date"),
+        *[cell(c, "double") for c in columns],
+        reduce(lambda a, b: a + b, bits).alias(PRESENT),
     )
-    frames = []
-    for row in headers:
-        names = row.header.split(",")
-        types = {"date": "date"}
-        schema = ", ".join(f"`{n}` {types.get(n, 'double')}" for n in names)
-        df = spark.read.schema(schema).option("header", True).csv(row.paths)
-        missing = [F.lit(None).cast("double").alias(c) for c in columns if c not in names]
-        known = [c for c in columns if c in names]
-        mask = F.lit(spec.source_mask(names)).cast("long").alias(PRESENT)
-        df = df.select(*_key_part(F.col("_metadata.file_path"), layout), "date", *known, *missing, mask)
-        frames.append(df.select("key", "part", "date", *columns, PRESENT))
-    return reduce(DataFrame.unionByName, frames)
 
 
 def read_raw(
@@ -95,16 +109,17 @@ def read_raw(
 ) -> DataFrame:
     """Raw daily rows of all keys: ``key, part, date, <columns>, _present``.
 
-    Parquet is preferred per key: CSV files of a key that also has Parquet are not read.
+    Parquet is preferred per key: CSV rows of a key that also has Parquet are dropped,
+    and where every key has Parquet no CSV is read.
     """
-    parquet = _listing(spark, root, "*.parquet", layout)
-    csv = _listing(spark, root, "*.csv", layout)
-    paths = [r.path for r in csv.join(parquet.select("key"), "key", "left_anti").select("path").collect()]
+    parquet = _listing(spark, root, "*.parquet", layout).select("key").distinct()
+    csv_only = _listing(spark, root, "*.csv", layout).join(parquet, "key", "left_anti")
     frames = []
     if not parquet.isEmpty():
         frames.append(_read_parquet(spark, root, layout, columns))
-    if paths:
-        frames.append(_read_csv(spark, paths, layout, columns, spec))
+    if not csv_only.isEmpty():
+        rows = _read_csv(spark, root, "*.csv", layout, columns, spec)
+        frames.append(rows.join(parquet, "key", "left_anti") if frames else rows)
     if not frames:
         raise FileNotFoundError(f"no .parquet or .csv below {root}")
     return reduce(DataFrame.unionByName, frames)
@@ -119,9 +134,9 @@ def read_gzipped(
 ) -> DataFrame:
     """Gzipped CSV files; ``part`` is NULL for keys with a single file."""
     files = _listing(spark, root, "*.csv.gz", layout)
-    paths = [r.path for r in files.select("path").collect()]
-    if not paths:
+    if files.isEmpty():
         raise FileNotFoundError(f"no .csv.gz below {root}")
     several = files.groupBy("key").agg((F.count_distinct("part") > 1).alias("_several"))
-    df = _read_csv(spark, paths, layout, columns, spec).join(several, "key")
+    df = _read_csv(spark, root, "*.csv.gz", layout, columns, spec)
+    df = df.join(broadcast_within(several, MAX_BROADCAST_FILES), "key")
     return df.withColumn("part", F.when(F.col("_several"), F.col("part"))).drop("_several")

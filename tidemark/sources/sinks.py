@@ -40,10 +40,13 @@ def write_daily(
             writer.format(kind).save(f"{path}/{kind}")
 
 
-def write_summaries(docs: DataFrame, path: str, key: str = "key") -> None:
-    """One JSON document per key in its own folder. NULL fields are written."""
-    clean = numbers_finite(docs)
-    clean.write.partitionBy(key).option("ignoreNullFields", False).json(path)
+def write_summaries(docs: DataFrame, path: str, key: str = "key", folders: bool = True) -> None:
+    """One JSON document per key, in its own folder or as lines. NULL fields are written.
+
+    With very many keys, lines spare the file system a small file for each.
+    """
+    writer = numbers_finite(docs).write.option("ignoreNullFields", False)
+    (writer.partitionBy(key) if folders else writer).json(path)
 
 
 def index_lines(docs: DataFrame, fields: Sequence[str], key: str = "key") -> DataFrame:
@@ -72,9 +75,16 @@ def feature_text(
     return boundaries.select(*keep, text.alias("value"))
 
 
-def write_boundaries(boundaries: DataFrame, path: str, properties: Sequence[str], key: str = "key") -> None:
-    """A FeatureCollection per key, and all features as newline-delimited GeoJSON."""
+def write_boundaries(
+    boundaries: DataFrame, path: str, properties: Sequence[str], key: str = "key", folders: bool = True
+) -> None:
+    """All features as newline-delimited GeoJSON, and a FeatureCollection per key.
+
+    With very many keys, ``folders=False`` leaves out the small file for each.
+    """
     features = feature_text(boundaries, properties, (key,))
+    features.select("value").write.text(f"{path}/all_keys")
+    if not folders:
+        return
     collection = F.concat(F.lit('{"type":"FeatureCollection","features":['), "value", F.lit("]}"))
     features.select(key, collection.alias("value")).write.partitionBy(key).text(f"{path}/by_key")
-    features.select("value").write.text(f"{path}/all_keys")
