@@ -8,6 +8,7 @@ maxima, minima and sums of whole numbers, so both engines get identical doubles.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,7 +38,9 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
+@lru_cache(maxsize=64)
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A shared table. Kept per session, so that its file footers are read once."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

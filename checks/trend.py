@@ -31,6 +31,7 @@ from tidemark.plans.summary import (
     summary_documents,
     summary_tables,
 )
+from tidemark.session import materialise
 
 SUPPLIER_TRENDS = f"WITH {SQL_SUPPLIER_MONTHS}, {sql_trends()}"
 RECORD = (
@@ -387,7 +388,8 @@ def browse_region_significant(spark: SparkSession, d: str) -> DataFrame:
   CAST(least(0, floor(min(total_f) OVER ())) AS BIGINT) AS axis_min FROM searchable WHERE total_f IS NOT NULL"""
 )
 def region_strip(spark: SparkSession, d: str) -> DataFrame:
-    strip = browse.region_strip(supplier_overview(spark, d))
+    rows = materialise(supplier_overview(spark, d), "overview")  # read twice: rows and axis
+    strip = browse.region_strip(rows)
     return rounded(strip.select("key", "region", "total_f", "significant", "axis_max", "axis_min"), "total_f")
 
 

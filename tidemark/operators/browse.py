@@ -103,7 +103,8 @@ def browse(
 def region_strip(rows: DataFrame) -> DataFrame:
     """Keys with a temperature total by region and total, with common axis bounds.
 
-    The axis always includes 0 and 1 and ends at whole degrees.
+    The axis always includes 0 and 1 and ends at whole degrees. It is an aggregate of the
+    same rows, so pass a stored overview rather than one still to be computed.
     """
     known = rows.where(F.col("total_f").isNotNull())
     axis = known.agg(

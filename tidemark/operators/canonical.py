@@ -124,6 +124,27 @@ def canonicalise(
     return raw.select(*out)
 
 
+COMBINED = "_combined"
+
+
+def with_combined(
+    daily: DataFrame, keys: Sequence[str], part: str = "part", date: str = "date"
+) -> DataFrame:
+    """Daily rows of every part, and next to them the mean over parts.
+
+    ``_combined`` marks the latter, whose part is NULL. Both levels come from one read
+    of the days and one shuffle, instead of one each.
+    """
+    skip = {*keys, part, date, AVAIL}
+    values = [f.name for f in daily.schema if f.name not in skip and isinstance(f.dataType, T.DoubleType)]
+    aggs = [F.avg(c).alias(c) for c in values]
+    if AVAIL in daily.columns:
+        aggs.append(F.bit_or(AVAIL).alias(AVAIL))
+    levels = [[*keys, date], [*keys, date, part]]
+    combined = (F.grouping(part) == 1).alias(COMBINED)
+    return daily.groupingSets(levels, *keys, date, part).agg(combined, *aggs)
+
+
 def combine_parts(
     daily: DataFrame, keys: Sequence[str], date: str = "date", weight: str | None = None
 ) -> DataFrame:

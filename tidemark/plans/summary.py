@@ -17,7 +17,7 @@ from tidemark.operators.aggregate import (
     to_long,
 )
 from tidemark.operators.anomaly import anomalies, stripes
-from tidemark.operators.canonical import combine_parts
+from tidemark.operators.canonical import COMBINED, with_combined
 from tidemark.operators.decompose import decompose
 from tidemark.operators.trend import trends
 from tidemark.session import materialise
@@ -70,14 +70,16 @@ def summary_tables(
 ) -> SummaryTables:
     """All tables from canonical daily rows ``key, part, date, <variables>``.
 
-    The days are read and reduced to months once per level (parts, combined); the
-    monthly sums are written out because eight results with different columns build
-    on them. ``keep=False`` leaves everything lazy instead.
+    The days are read once and reduced to months of the parts and of their mean. The
+    monthly sums are written out, because eight results with different columns build
+    on them; ``keep=False`` leaves everything lazy instead.
     """
     hold = materialise if keep else (lambda df, _: df)
-    by_part = hold(month_partials(canonical, [KEY, "part"], how), "part-months")
-    combined = combine_parts(canonical.drop("part"), [KEY])
-    months = hold(spread_availability(month_partials(combined, [KEY], how), [KEY]), "months")
+    levels = with_combined(canonical, [KEY])
+    series = [KEY, "part", COMBINED]
+    both = hold(spread_availability(month_partials(levels, series, how), series), "months")
+    months = both.where(COMBINED).drop("part", COMBINED)
+    by_part = both.where(~F.col(COMBINED)).drop(COMBINED)
 
     names = [v for v in (how or DEFAULT_SPEC.how) if f"{v}__sum" in months.columns]
     year = annual_from_partials(months, [KEY], how, limits.min_days_per_year)

@@ -15,6 +15,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Plans here are built from many columns; noting the source line of each takes longer than planning.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
