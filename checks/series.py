@@ -26,7 +26,7 @@ from checks.tables import (
 )
 from tidemark.functions.calendar import in_dates, month_label, season, season_year, water_year
 from tidemark.functions.colour import label_colour
-from tidemark.operators import aggregate, anomaly, chunks, decompose
+from tidemark.operators import aggregate, anomaly, browse, chunks, decompose
 from tidemark.operators.canonical import canonicalise, coalesce_dates, combine_parts, present_columns, select_bands
 from tidemark.operators.zonal import zonal_mean
 from tidemark.sources.registry import only_keys
@@ -151,6 +151,16 @@ def annual_long(spark: SparkSession, d: str) -> DataFrame:
     return rounded(aggregate.to_long(wide, ["key", "year"]), "value")
 
 
+@query(
+    f"""WITH {SQL_ANNUAL} SELECT key, min(year) AS start_year, max(year) AS end_year FROM annual GROUP BY ALL
+UNION ALL SELECT 'all', min(year), max(year) FROM annual"""
+)
+def period_of_record(spark: SparkSession, d: str) -> DataFrame:
+    wide = aggregate.annual(combined(spark, d), ["key"], min_rows=MIN_ROWS)
+    overall = aggregate.period_of_record(wide).select(F.lit("all").alias("key"), "*")
+    return aggregate.period_of_record(wide, ["key"]).unionByName(overall)
+
+
 # Key A has only the source without gaps, key N only the other, key R both; the latter
 # also has a mean temperature of its own, which is empty.
 _ABSENT = f"""WITH {SQL_RAW},
@@ -278,6 +288,24 @@ def decomposition_document_months(spark: SparkSession, d: str) -> DataFrame:
     return zipped.select("key", "variable", F.col("e.months").alias("month"), "e.observed", "e.trend")
 
 
+@query(
+    f"""WITH {SQL_MONTHLY} SELECT key, variable, period_start, period_end, moy AS month,
+  round(CASE WHEN variable[1:4] IN ('tmax', 'tmin', 'tmea') THEN round(mean, 4) * 9 / 5 + 32 ELSE round(mean, 4) END, 6) AS mean,
+  round(CASE WHEN variable[1:4] IN ('tmax', 'tmin', 'tmea') THEN round(p90, 4) * 9 / 5 + 32 ELSE round(p90, 4) END, 6) AS p90
+FROM full_climatology"""
+)
+def decomposition_in_fahrenheit(spark: SparkSession, d: str) -> DataFrame:
+    """The climatology inside decomposition documents, in display units."""
+    docs = decompose.decompose(aggregate.monthly(combined(spark, d), ["key"]), ["key"], PERIODS)
+    shown = browse.display_decomposition(docs)
+    periods = shown.select("key", "variable", F.explode("climatology").alias("c"))
+    cells = periods.select(
+        "key", "variable", F.col("c.period")[0].alias("period_start"), F.col("c.period")[1].alias("period_end"),
+        F.inline("c.values"),
+    )
+    return rounded(cells.drop("p10"), "mean", "p90")
+
+
 @query()
 def decomposition_document(spark: SparkSession, d: str) -> DataFrame:
     return decompose.decompose(aggregate.monthly(combined(spark, d), ["key"]), ["key"], PERIODS)

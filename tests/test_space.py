@@ -138,3 +138,24 @@ def test_fallback_order(spark):
     got = {r.key: (r.boundary_source, len(r.polygons[0][0])) for r in boundary.with_fallback(registry, first, second).collect()}
     assert got == {"a": ("primary", 5), "b": ("secondary", 5), "c": ("circle", 33)}
     assert boundary.with_fallback(registry, first).count() == 3
+
+
+def test_several_rows_of_one_zone_count_as_one(spark):
+    rows = small_table(spark, {"zone": ["z", "z"], "polygons": [[[SQUARE]], [[FAR]]]})
+    merged = small_table(spark, {"zone": ["z"], "polygons": [[[SQUARE], [FAR]]]})
+    a, b = (zonal.assign_cells(grid(spark), z, ["zone"]).select("cell_id") for z in (rows, merged))
+    assert a.count() == b.count() == 104 and a.exceptAll(b).count() == 0
+
+
+def test_membership_beyond_the_broadcast_limit_gives_the_same(spark):
+    zones = small_table(spark, {"key": ["k"], "multipart": [False], "polygons": [[[SQUARE]]]})
+    cells = grid(spark)
+    daily = cells.select("cell_id", F.lit("2000-01-01").cast("date").alias("date"), F.col("lon").alias("tmax"))
+    members = cell_membership({"DAYMET": cells}, zones_by_key(zones))
+    runs = [
+        daily_series({"DAYMET": daily}, members, {"DAYMET": ["tmax"]}, "2000-01-01", "2001-01-01", max_broadcast=m)
+        for m in (0, 1000)
+    ]
+    assert runs[0].collect() == runs[1].collect()
+    assert "broadcast" in runs[1]._jdf.queryExecution().logical().toString()
+    assert "broadcast" not in runs[0]._jdf.queryExecution().logical().toString()

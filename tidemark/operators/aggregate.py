@@ -191,3 +191,8 @@ def to_long(
         F.when(_available(v), F.struct(F.lit(v).alias("variable"), F.col(v).alias("value"))) for v in names
     ]
     return wide.select(*ids, F.inline(F.array_compact(F.array(*entries))))
+
+
+def period_of_record(annual_rows: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """First and last year per key, or over all keys."""
+    return annual_rows.groupBy(*keys).agg(F.min("year").alias("start_year"), F.max("year").alias("end_year"))

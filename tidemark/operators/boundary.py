@@ -35,8 +35,9 @@ def unmatched(keys: DataFrame, matched: DataFrame, key: str = "key") -> DataFram
 def merge_units(matched: DataFrame, key: str = "key", acres: str = "GIS_Acres") -> DataFrame:
     """All polygons of a key in one row, with the summed area.
 
-    A collection of the polygons, without dissolving common borders. The result is one
-    geometry value per key; ``split_parts`` turns it back into rows.
+    A collection of the polygons, without dissolving common borders, for documents that
+    hold one geometry per key. Zonal means do not need it: ``assign_cells`` takes any
+    number of rows with the same zone id.
     """
     return matched.groupBy(key).agg(
         F.flatten(F.collect_list("polygons")).alias("polygons"),

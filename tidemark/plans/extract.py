@@ -11,7 +11,7 @@ from tidemark.functions.calendar import in_dates
 from tidemark.functions.labels import part_label
 from tidemark.operators.canonical import coalesce_dates, merge_sources, present_by_dataset_choice
 from tidemark.operators.zonal import assign_cells, coarsen, split_parts, zonal_mean
-from tidemark.session import broadcast_within
+from tidemark.session import broadcast_within, materialise
 from tidemark.sources.registry import only_keys
 from tidemark.sources.sinks import write_daily
 from tidemark.spec import MAX_PARTS
@@ -79,7 +79,11 @@ def cell_membership(
     tile: float = 1.0,
     max_cells: int | None = None,
 ) -> DataFrame:
-    """``(dataset, cell_id, *ids)`` for all grids: computed once, used for every date."""
+    """``(dataset, cell_id, *ids)`` for all grids.
+
+    It does not change with the dates: store it (``session.materialise``) and use it for
+    all of them.
+    """
     parts = []
     for name, cells in grid_cells.items():
         inside = assign_cells(cells, zones, ids, tile=tile)
@@ -121,5 +125,5 @@ def export_areas(
 ) -> None:
     """Write the daily series of all keys, or of some, in one folder per key and part."""
     zones = zones_by_key(only_keys(boundaries, keys))
-    members = cell_membership(grid_cells, zones, tile=tile, max_cells=max_cells)
+    members = materialise(cell_membership(grid_cells, zones, tile=tile, max_cells=max_cells), "members")
     write_daily(daily_series(grids, members, bands, start, end, barred=barred).drop("_present"), path)

@@ -12,6 +12,7 @@ from tidemark.operators.aggregate import (
     annual_from_partials,
     month_partials,
     monthly_from_partials,
+    period_of_record,
     seasonal_from_partials,
     spread_availability,
     to_long,
@@ -143,9 +144,8 @@ def summary_documents(tables: SummaryTables, registry: DataFrame) -> DataFrame:
     part_trend = _list(tables.part_trends, by, TREND_FIELDS, "trends")
     parts = tables.parts.join(part_annual, by, "left").join(part_trend, by, "left")
     part_map = _map(parts, "part", F.struct("annual", "trends"), "part_summaries")
-    period = tables.annual.groupBy(KEY).agg(
-        F.struct(F.min("year").alias("start_year"), F.max("year").alias("end_year")).alias("period")
-    )
+    span = period_of_record(tables.annual, [KEY])
+    period = span.select(KEY, F.struct("start_year", "end_year").alias("period"))
 
     docs = registry.select(KEY, "unit_name", "state", "multipart").join(seasonal, KEY)
     for piece in (annual, anomaly, trend, stripe, headline, decomposition, part_map, period):

@@ -49,7 +49,7 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
 def broadcast_within(df: DataFrame, max_rows: int) -> DataFrame:
     """Mark for broadcast if the frame is counted to have at most ``max_rows`` rows.
 
-    Beyond that the frame is returned unmarked, and the join shuffles.
+    Beyond that the frame is returned unmarked, and the join shuffles. The count runs the
+    frame, so pass a stored table where it is costly.
     """
-    few = df.limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(df) if few else df
+    return F.broadcast(df) if df.count() <= max_rows else df

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.canonical import present_by_dataset_choice
-from tidemark.session import broadcast_within
+from tidemark.session import broadcast_within, materialise
 from tidemark.spec import DEFAULT_SPEC, PRESENT, RAW_COLUMNS, SeriesSpec
 
 #: per-file tables up to this many rows are sent to every task: some 300 bytes each
@@ -79,7 +79,8 @@ def _read_csv(
         .agg(F.first("value").alias("_header"))
         .withColumn("_names", fields("_header"))
     )
-    rows = lines.join(broadcast_within(headers, MAX_BROADCAST_FILES), "_path").where(
+    headers = broadcast_within(materialise(headers, "headers"), MAX_BROADCAST_FILES)
+    rows = lines.join(headers, "_path").where(
         F.col("value") != F.col("_header")
     )
     split = rows.withColumn("_cells", fields("value"))
