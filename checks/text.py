@@ -14,6 +14,7 @@ from checks.tables import (
     combined,
     query,
     rounded,
+    sql_trends,
     supplier_registry,
     table,
 )
@@ -208,12 +209,30 @@ def summary_files(spark: SparkSession, d: str) -> DataFrame:
     return rounded(years.select("key", "year", "tmean_c", "prcp_mm"), "tmean_c", "prcp_mm")
 
 
-@query()
+@query(
+    f"""WITH {SQL_ANNUAL}, {sql_trends('annual_long', 'year', 5)}
+SELECT key, 'Flag ' || key AS unit_name, CAST(min(year) AS INTEGER) AS start_year, CAST(count(*) AS INTEGER) AS n_stripes,
+  any_value((SELECT round(slope_per_year, 6) FROM trends t WHERE t.key = a.key AND t.variable = 'tmean_c')) AS tmean_slope,
+  true AS no_snow FROM annual a GROUP BY key"""
+)
 def index_file(spark: SparkSession, d: str) -> DataFrame:
+    """The index written as lines, and facts read from its text. Keys without years are left out."""
     docs = summary_documents(flag_tables(spark, d), flag_registry(spark, d))
     path = new_folder(spark, "index")
     sinks.write_index(docs, path, INDEX_FIELDS)
-    return spark.read.text(path)
+    shape = (
+        "key string, unit_name string, period struct<start_year:int>, stripes array<struct<year:int>>, "
+        "headline_trends map<string,struct<slope_per_year:double>>"
+    )
+    lines = spark.read.text(path).select(F.from_json("value", shape).alias("j"))
+    return lines.select(
+        "j.key",
+        "j.unit_name",
+        "j.period.start_year",
+        F.size("j.stripes").alias("n_stripes"),
+        F.round(F.col("j.headline_trends")["tmean_c"].slope_per_year, 6).alias("tmean_slope"),
+        F.col("j.headline_trends")["snowfall_mm"].isNull().alias("no_snow"),
+    ).where("start_year IS NOT NULL")
 
 
 @query(
