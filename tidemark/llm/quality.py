@@ -22,8 +22,8 @@ MAX_REPEATED_PERCENT = 30
 
 #: characters that prose has few of
 SYMBOLS = "#*$%&|<>"
-#: a line of prose ends like this, closing quotes and brackets aside
-SENTENCE_END = r"[.!?…:;,。！？](?:[\"'”’»)\]]*)\s*$"
+#: a line of prose ends like this, closing quotes and brackets aside, or, cut short, has two sentences inside
+SENTENCE_END = r"[.!?…:;,。！？][\"'”’»)\]]*\s*$|[.!?…]\s.*[.!?…]\s"
 #: more of a line's characters than this are symbols, or it shouts: it fails for punctuation
 MAX_SYMBOL_PERCENT = 10
 SHOUTING = r"!!|\?\?\?|(?:[-_=~.·•]){5,}"
