@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import quality
+from tidemark.llm import quality, simhash
 from tidemark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -71,3 +71,8 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id n_words word_chars n_symbols n_dup_lines n_repeat_words n_lines n_lines_removed lost_chars base_failed kept"
     ).split()
     return quality.judge(table(spark, sf_dir, "documents")).select(*columns)
+
+
+@query()
+def op10_simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
