@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import quality, simhash
+from tidemark.llm import mixing, quality, simhash
 from tidemark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -76,3 +76,13 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op10_simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+#: shares of tokens for the domains that the labels name
+TARGETS = {"clean": 0.85, "low": 0.12, "toxic": 0.03}
+
+
+@query()
+def op1_mixing_to_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return mixing.mix(docs, mixing.domains_of(labels), TARGETS, carry=["doc_id"])
