@@ -55,7 +55,7 @@ def test_figures_equal_brute_force(spark):
 
 def test_documents_that_lose_too_much_go(spark):
     menu = "\n".join("Home | News | Sport | More" for _ in range(10))
-    rows = [(1, f"{GOOD} {GOOD[:-1]}, and more of it.", 5), (2, f"{GOOD}\n{GOOD[5:]}\n{menu}", 5), (3, None, None)]
+    rows = [(1, f"{GOOD} Then some other words follow, and more of it.", 5), (2, f"{GOOD}\n{GOOD[5:]}\n{menu}", 5), (3, None, None)]
     df = spark.createDataFrame(rows, "doc_id long, text string, n_chars int")
     kept = quality.keep_good(df)
     assert kept.columns == df.columns and kept.dtypes == df.dtypes

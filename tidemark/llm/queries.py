@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import mixing, quality, simhash
+from tidemark.llm import mixing, packing, quality, simhash
 from tidemark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -86,3 +86,8 @@ TARGETS = {"clean": 0.85, "low": 0.12, "toxic": 0.03}
 def op1_mixing_to_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     return mixing.mix(docs, mixing.domains_of(labels), TARGETS, carry=["doc_id"])
+
+
+@query()
+def op4_hierarchical_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
