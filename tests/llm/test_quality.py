@@ -61,3 +61,10 @@ def test_documents_that_lose_too_much_go(spark):
     assert kept.columns == df.columns and kept.dtypes == df.dtypes
     assert [(r["doc_id"], r["n_chars"]) for r in kept.collect()] == [(1, len(rows[0][1]))]
     assert quality.judge(df.limit(0)).count() == 0
+
+
+def test_a_filter_on_the_verdict_stays_above_the_figures(spark):
+    df = spark.createDataFrame(list(enumerate(TEXTS)), "doc_id long, text string").selectExpr("*", "1 AS n_chars")
+    plan = quality.keep_good(df)._jdf.queryExecution().optimizedPlan().toString()
+    filters = [line for line in plan.splitlines() if line.strip(" +-:").startswith("Filter")]
+    assert filters and not any("xxhash64" in line for line in filters)
