@@ -73,7 +73,7 @@ class PieceCounts:
         rb"|(?<=[^ \t\n\x0b\f\r])\n(?=[^ \t\n\x0b\f\r])|(?<=[^ \t\n\x0b\f\r]\n)(?=[^ \t\n\x0b\f\r])"
     )
     #: white space beyond ASCII, or control characters that only some libraries call white space
-    _odd = re.compile("[\x1c-\x1f\x85\xa0 ᠎ -​    　﻿]")
+    _odd = re.compile("[\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200b\u2028\u2029\u202f\u205f\u3000\ufeff]")
 
     def __init__(self, tokenizer: Tokenizer):
         self.tokenizer, self.known = tokenizer, {}
@@ -81,7 +81,7 @@ class PieceCounts:
     def pieces(self, text: str) -> list[bytes]:
         if "<|" in text or self._odd.search(text):
             return [text.encode()]
-        return self._cut.sub(rb"\xff\g<0>", text.encode()).split(b"\xff")
+        return self._cut.sub(b"\xff\\g<0>", text.encode()).split(b"\xff")
 
     def count(self, texts: list[str]) -> list[int]:
         split = [self.pieces(t) for t in texts]

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import mixing, packing, quality, simhash
+from tidemark.llm import mixing, packing, quality, simhash, tokens
 from tidemark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -91,3 +91,9 @@ def op1_mixing_to_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op4_hierarchical_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return tokens.count_tokens(docs).drop("text")
