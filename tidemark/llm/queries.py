@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import mixing, packing, quality, simhash, tokens
+from tidemark.llm import mixing, packing, ppm, quality, simhash, tokens
 from tidemark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -97,3 +97,8 @@ def op4_hierarchical_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return tokens.count_tokens(docs).drop("text")
+
+
+@query()
+def op9_partial_matching_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ppm.score_held_out(table(spark, sf_dir, "documents"))
