@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import mixing, packing, ppm, quality, simhash, tokens
+from tidemark.llm import mixing, packing, ppm, quality, simhash, tokens, warc
 from tidemark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -102,3 +102,8 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op9_partial_matching_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ppm.score_held_out(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op6_archives_by_capture_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_and_read(table(spark, sf_dir, "pages"))
