@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import mixing, packing, ppm, quality, simhash, tokens, warc
+from tidemark.llm import mixing, neighbours, packing, ppm, quality, simhash, tokens, warc
 from tidemark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -107,3 +107,8 @@ def op9_partial_matching_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op6_archives_by_capture_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_and_read(table(spark, sf_dir, "pages"))
+
+
+@query()
+def op7_pivot_permutation_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.near_vectors(table(spark, sf_dir, "embeddings"))
