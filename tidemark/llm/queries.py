@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import mixing, neighbours, packing, ppm, quality, simhash, tokens, warc
+from tidemark.llm import mixing, neighbours, packing, ppm, quality, simhash, tokens, warc, wrappers
 from tidemark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -112,3 +112,8 @@ def op6_archives_by_capture_index(spark: SparkSession, sf_dir: str) -> DataFrame
 @query()
 def op7_pivot_permutation_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@query()
+def op5_wrapper_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wrappers.extract(table(spark, sf_dir, "pages"))
