@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import mixing, neighbours, packing, ppm, quality, simhash, tokens, warc, wrappers
+from tidemark.llm import licences, mixing, neighbours, packing, ppm, quality, simhash, tokens, warc, wrappers
 from tidemark.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -117,3 +118,8 @@ def op7_pivot_permutation_neighbours(spark: SparkSession, sf_dir: str) -> DataFr
 @query()
 def op5_wrapper_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wrappers.extract(table(spark, sf_dir, "pages"))
+
+
+@query()
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan_licenses(table(spark, sf_dir, "documents")).withColumn("coverage", F.round("coverage", 6))
