@@ -14,6 +14,7 @@ from tidemark.plans import extract
 from tidemark.plans.extract import cell_membership, daily_series
 from tidemark.session import new_folder
 from tidemark.sources.registry import choose_datasets, finest_scale, small_table, uniqueness
+from tidemark.spec import DEFAULT_SPEC
 
 # Outlines over the plane of account balance / 100 (x) and nation (y): a square with a
 # square hole, a triangle, and two separate strips of one zone.
@@ -100,13 +101,12 @@ def zonal_mean_by_part(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(
-    f"""WITH {_edges_sql(False)}, sized AS (SELECT *, count(*) OVER (PARTITION BY zone) AS n FROM cell_zone),
-strided AS (SELECT *, CAST(greatest(1, ceil(sqrt(n / 50.0))) AS INTEGER) AS stride FROM sized)
-SELECT zone, cell_id, stride FROM strided WHERE row % stride = 0 AND col % stride = 0"""
+    f"""WITH {_edges_sql(False)}
+SELECT zone, cell_id, row, col FROM cell_zone WHERE row % 3 = 0 AND col % 3 = 0"""
 )
 def zonal_coarsened(spark: SparkSession, d: str) -> DataFrame:
     members = zonal.assign_cells(cells(spark, d), zones(spark), ["zone"], tile=5.0)
-    return zonal.coarsen(members, ["zone"], 50).select("zone", "cell_id", "stride")
+    return zonal.coarsen(members, 3).select("zone", "cell_id", "row", "col")
 
 
 @query(
@@ -122,7 +122,10 @@ def exported_areas(spark: SparkSession, d: str) -> DataFrame:
         {"ERA5": _orders(spark, d)}, {"ERA5": cells(spark, d)}, {"ERA5": ["price"]}, boundaries,
         "1996-01-01", "1998-01-01", path, keys=["frame", "strips"], tile=5.0,
     )
-    return rounded(spark.read.parquet(f"{path}/parquet"), "ERA5_price")
+    return rounded(spark.read.parquet(f"{path}/parquet").drop("_present"), "ERA5_price")
+
+
+_HAS_TMAX, _HAS_SNOW = (DEFAULT_SPEC.source_mask([c]) for c in ("DAYMET_tmax", "ERA5_snow_cover"))
 
 
 @query(
@@ -132,19 +135,21 @@ a AS (SELECT zone AS key, part_index AS part, date, avg(price) AS p FROM daily J
 b AS (SELECT zone AS key, part_index AS part, date, avg(status) AS s FROM daily JOIN served USING (cell_id)
   WHERE date >= '1996-01-01' AND date < '1998-01-01' GROUP BY ALL)
 SELECT coalesce(a.key, b.key) AS key, coalesce(a.part, b.part) AS part, coalesce(a.date, b.date) AS date,
-  round(p, 6) AS "DAYMET_price", round(s, 6) AS "ERA5_status"
+  round(p, 6) AS "DAYMET_tmax", round(s, 6) AS "ERA5_snow_cover",
+  CAST(CASE WHEN coalesce(a.key, b.key) = 'strips' THEN 0 ELSE {_HAS_TMAX} END + {_HAS_SNOW} AS BIGINT) AS present
 FROM a FULL JOIN b ON a.key = b.key AND a.part = b.part AND a.date = b.date"""
 )
 def daily_series_of_areas(spark: SparkSession, d: str) -> DataFrame:
-    """Two sources with their own grids and bands, one of which does not serve one zone."""
+    """Two sources with their own grids and bands, one of which does not serve one zone: it has no such column there."""
     parts = zonal.split_parts(zones(spark), ["zone"]).withColumnsRenamed({"zone": "key", "part_index": "part"})
     grid = cells(spark, d)
     members = cell_membership({"DAYMET": grid, "ERA5": grid}, parts, tile=5.0)
     barred = small_table(spark, {"dataset": ["DAYMET"], "key": ["strips"]})
     daily = _orders(spark, d)
-    bands = {"DAYMET": ["price"], "ERA5": ["status"]}
+    daily = daily.withColumnsRenamed({"price": "tmax", "status": "snow_cover"})
+    bands = {"DAYMET": ["tmax"], "ERA5": ["snow_cover"]}
     out = daily_series({"DAYMET": daily, "ERA5": daily}, members, bands, "1996-01-01", "1998-01-01", barred=barred)
-    return rounded(out.drop("_present"), "DAYMET_price", "ERA5_status")
+    return rounded(out.withColumnRenamed("_present", "present"), "DAYMET_tmax", "ERA5_snow_cover")
 
 
 # ---- outlines -----------------------------------------------------------------------
@@ -235,11 +240,11 @@ def supplier_aliases(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "supplier").select(F.col("s_suppkey").alias("key"), F.explode(names).alias("alias"))
 
 
-_LAYER = """layer AS (SELECT c_custkey AS feature_id, 'Unit ' || c_custkey % 97 AS unit_nm, floor(c_acctbal) AS acres
-  FROM customer WHERE c_mktsegment IN ('BUILDING', 'MACHINERY')),
+_LAYER = """layer AS (SELECT c_custkey AS feature_id, 'Unit ' || c_custkey % 97 AS unit_nm, floor(c_acctbal) AS acres,
+  c_acctbal / 100 AS x, CAST(c_nationkey AS DOUBLE) AS y FROM customer WHERE c_mktsegment IN ('BUILDING', 'MACHINERY')),
 names AS (SELECT s_suppkey AS key, 'Unit ' || s_suppkey AS alias FROM supplier
   UNION ALL SELECT s_suppkey, 'Old unit ' || s_suppkey FROM supplier),
-matched AS (SELECT key, feature_id, acres FROM layer JOIN names ON unit_nm = alias)"""
+matched AS (SELECT key, feature_id, acres, x, y FROM layer JOIN names ON unit_nm = alias)"""
 
 
 def _matched(spark: SparkSession, d: str) -> DataFrame:
@@ -256,38 +261,52 @@ def unmatched_keys(spark: SparkSession, d: str) -> DataFrame:
     return boundary.unmatched(table(spark, d, "supplier").select(F.col("s_suppkey").alias("key")), _matched(spark, d))
 
 
+def _merged(spark: SparkSession, d: str) -> DataFrame:
+    """Features in the order of their ids, from rows that arrive in another order."""
+    rows = _matched(spark, d).repartition(7, F.xxhash64("feature_id"))
+    return boundary.merge_units(rows, order=["feature_id"])
+
+
 @query(
-    f"""WITH {_LAYER} SELECT key, CAST(count(*) AS INTEGER) AS n_polygons,
-  round(sum(acres) * 0.00404686, 3) AS area_km2 FROM matched GROUP BY key"""
+    f"""WITH {_LAYER} SELECT key, CAST(count(*) AS INTEGER) AS n_polygons, round(sum(acres) * 0.00404686, 3) AS area_km2,
+  array_to_string(list(CAST(round(x * 100) AS BIGINT) ORDER BY feature_id), ' ') AS first_vertices FROM matched GROUP BY key"""
 )
 def merge_units(spark: SparkSession, d: str) -> DataFrame:
-    merged = boundary.merge_units(_matched(spark, d))
-    return merged.select("key", F.size("polygons").alias("n_polygons"), "area_km2")
+    firsts = F.transform("polygons", lambda p: F.round(p[0][0][0] * 100).cast("long").cast("string"))
+    return _merged(spark, d).select(
+        "key", F.size("polygons").alias("n_polygons"), "area_km2", F.array_join(firsts, " ").alias("first_vertices")
+    )
 
 
 @query(
-    f"""WITH {_LAYER}, ranked AS (SELECT key, count(*) AS n FROM matched GROUP BY key), kept AS (
-  SELECT key, unnest(range(0, least(n, 8))) AS part_index FROM ranked)
-SELECT key, CAST(part_index AS INTEGER) AS part_index FROM kept"""
+    f"""WITH {_LAYER} SELECT key, CAST(row_number() OVER (PARTITION BY key ORDER BY feature_id) - 1 AS INTEGER) AS part_index,
+  round(x, 6) AS x, round(y, 6) AS y FROM matched"""
 )
 def split_parts(spark: SparkSession, d: str) -> DataFrame:
-    """At most eight parts per key, as a feature of the operator."""
-    return zonal.split_parts(boundary.merge_units(_matched(spark, d)), ["key"]).select("key", "part_index")
+    """All parts of a key with the vertex they begin at."""
+    first = F.col("polygons")[0][0][0]
+    parts = zonal.split_parts(_merged(spark, d), ["key"])
+    return parts.select("key", "part_index", F.round(first[0], 6).alias("x"), F.round(first[1], 6).alias("y"))
 
 
 @query(
-    f"""WITH {_LAYER}, ranked AS (SELECT key, key % 2 = 0 AS multipart, count(*) AS n FROM matched GROUP BY key), kept AS (
-  SELECT key, multipart, n, unnest(range(0, CASE WHEN multipart THEN least(n, 8) ELSE 1 END)) AS i FROM ranked)
-SELECT key, CASE WHEN multipart THEN 'part-' || i ELSE 'all' END AS part,
+    f"""WITH {_LAYER}, ranked AS (SELECT key, key % 2 = 0 AS multipart, x, y, count(*) OVER (PARTITION BY key) AS n,
+    row_number() OVER (PARTITION BY key ORDER BY feature_id) - 1 AS i FROM matched),
+kept AS (SELECT * FROM ranked WHERE multipart OR i = 0)
+SELECT key, round(x, 6) AS x, round(y, 6) AS y, CASE WHEN multipart THEN 'part-' || i ELSE 'all' END AS part,
   CAST(CASE WHEN multipart THEN 1 ELSE n END AS INTEGER) AS n_polygons,
   CASE WHEN multipart THEN key || '_part-' || i ELSE CAST(key AS VARCHAR) END AS stem FROM kept"""
 )
 def zones_by_key(spark: SparkSession, d: str) -> DataFrame:
     """Parts of multipart keys, whole outlines of the others, with their file names."""
-    merged = boundary.merge_units(_matched(spark, d)).withColumn("multipart", F.col("key") % 2 == 0)
+    merged = _merged(spark, d).withColumn("multipart", F.col("key") % 2 == 0)
     out = extract.zones_by_key(merged)
     stem = labels.file_stem(F.col("key").cast("string"), F.col("part"))
-    return out.select("key", "part", F.size("polygons").alias("n_polygons"), stem.alias("stem"))
+    first = F.col("polygons")[0][0][0]
+    return out.select(
+        "key", "part", F.size("polygons").alias("n_polygons"), stem.alias("stem"),
+        F.round(first[0], 6).alias("x"), F.round(first[1], 6).alias("y"),
+    )
 
 
 _FALLBACK = f"""WITH {SQL_REGISTRY}, {_LAYER}, first AS (SELECT key, count(*) AS n FROM matched GROUP BY key),
@@ -351,11 +370,14 @@ def dataset_choice(spark: SparkSession, d: str) -> DataFrame:
     return finest_scale(chosen).join(counts, "key")
 
 
-@query("SELECT DISTINCT c_custkey AS key FROM customer ANTI JOIN orders ON c_custkey = o_custkey")
+@query(
+    """SELECT c_custkey AS key FROM customer
+ANTI JOIN (SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT') ON c_custkey = o_custkey"""
+)
 def coverage_gaps(spark: SparkSession, d: str) -> DataFrame:
-    """Customers without an order: what one table needs and another lacks."""
+    """Customers without an urgent order: what one table needs and another lacks."""
     need = table(spark, d, "customer").select(F.col("c_custkey").alias("key"))
-    have = table(spark, d, "orders").select(F.col("o_custkey").alias("key"))
+    have = table(spark, d, "orders").where("o_orderpriority = '1-URGENT'").select(F.col("o_custkey").alias("key"))
     return boundary.schema_gaps(need, have, ["key"])
 
 

@@ -104,7 +104,7 @@ def file_stems(spark: SparkSession, d: str) -> DataFrame:
     stem = F.when(size % 2 == 0, F.concat(name, F.lit("_part-"), (size % 10).cast("string"))).otherwise(name)
     rows = table(spark, d, "part").select("p_partkey", stem.alias("stem"))
     keyed = rows.withColumn("key", labels.file_key(F.col("stem")))
-    return keyed.withColumn("expected", F.array_contains(labels.candidate_stems(F.col("key")), F.col("stem")))
+    return keyed.withColumn("expected", F.array_contains(labels.candidate_stems(F.col("key"), 10), F.col("stem")))
 
 
 @query(
@@ -143,8 +143,6 @@ def items_by_value(spark: SparkSession, d: str) -> DataFrame:
 
 # ---- what is written is what is read -----------------------------------------------------
 
-_BY_FOLDER = r"key=([^/]+)/part=([^/]+)/"
-
 
 def _as_raw(spark: SparkSession, d: str) -> DataFrame:
     """Canonical days under raw names, as a source would deliver them."""
@@ -165,7 +163,7 @@ def daily_files_parquet(spark: SparkSession, d: str) -> DataFrame:
     """Both formats are written; Parquet is preferred when read."""
     path = new_folder(spark, "daily")
     sinks.write_daily(_as_raw(spark, d), path)
-    return daily.read_raw(spark, path, _BY_FOLDER, _RAW_COLUMNS).drop(PRESENT)
+    return daily.read_raw(spark, path, columns=_RAW_COLUMNS).drop(PRESENT)
 
 
 @query(_ROUND_TRIP)
@@ -176,7 +174,7 @@ def daily_files_csv(spark: SparkSession, d: str) -> DataFrame:
     sinks.write_daily(rows.where(F.col("key") != "A"), f"{path}/one", formats=["csv"])
     other = rows.select("key", "part", "DAYMET_prcp", "ERA5_snow_cover", "date", "DAYMET_tmin", "DAYMET_tmax")
     sinks.write_daily(other.where(F.col("key") == "A"), f"{path}/two", formats=["csv"])
-    return daily.read_raw(spark, path, _BY_FOLDER, _RAW_COLUMNS).drop(PRESENT)
+    return daily.read_raw(spark, path, columns=_RAW_COLUMNS).drop(PRESENT)
 
 
 @query(

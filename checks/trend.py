@@ -151,17 +151,12 @@ _BANDS_SQL = "bands(variable, lo, hi) AS (VALUES " + ", ".join(
 _RANGE_SQL = f"""bad AS (SELECT key, variable, min(year) AS year, arg_min(value, year) AS value, any_value(lo) AS lo,
     any_value(hi) AS hi FROM annual_long JOIN bands USING (variable) WHERE value < lo OR value > hi GROUP BY ALL)"""
 _RANGE_ROWS = """SELECT key, variable, 'range' AS "check", 'FAIL' AS status,
-  'first violator y' || year || ': ' || printf('%.3f', value) AS note FROM bad"""
-
-
-def _short_note(df: DataFrame) -> DataFrame:
-    """Cut the part of a range note that only repeats the bounds."""
-    return df.withColumn("note", F.regexp_replace("note", " outside .*$", ""))
+  'in ' || year || ' the value ' || printf('%.3f', value) || ' leaves the band from ' || lo || ' to ' || hi AS note FROM bad"""
 
 
 @query(f"WITH {SQL_ANNUAL}, {_BANDS_SQL}, {_RANGE_SQL} {_RANGE_ROWS}")
 def qc_range(spark: SparkSession, d: str) -> DataFrame:
-    return _short_note(qc.check_ranges(aggregate.to_long(_annual(spark, d), ["key", "year"]), bands=BANDS))
+    return qc.check_ranges(aggregate.to_long(_annual(spark, d), ["key", "year"]), bands=BANDS)
 
 
 _RECOMPUTE_ROWS = """
@@ -193,11 +188,11 @@ def qc_recompute(spark: SparkSession, d: str) -> DataFrame:
 _PLANTED = """planted AS (SELECT key, variable, n, CASE WHEN key % 5 = 0 THEN 0.0 ELSE slope_per_year END AS slope_per_year,
     p_value, CASE WHEN key % 3 = 0 THEN NOT significant_95 ELSE significant_95 END AS significant_95 FROM trends),
 consistency AS (
-  SELECT key, variable, 'MK significance flag' AS "check", 'FAIL' AS status, 'p=' || printf('%.4f', p_value)
-    || ' but significant_95=' || CASE WHEN significant_95 THEN 'True' ELSE 'False' END AS note
+  SELECT key, variable, 'significance flag' AS "check", 'FAIL' AS status,
+    'flag is ' || CASE WHEN significant_95 THEN 'true' ELSE 'false' END || ' at a p-value of ' || printf('%.4f', p_value) AS note
   FROM planted WHERE (p_value < 0.05) <> significant_95
-  UNION ALL SELECT key, variable, 'Theil-Sen / MK edge case', 'WARN',
-    'zero slope flagged significant — series is dominated by zeros'
+  UNION ALL SELECT key, variable, 'flat but significant', 'WARN',
+    'significant although the slope is zero, as where most values are'
   FROM planted WHERE (p_value < 0.05) = significant_95 AND slope_per_year = 0 AND significant_95)"""
 
 
@@ -217,10 +212,10 @@ def qc_consistency(spark: SparkSession, d: str) -> DataFrame:
 
 
 _BOUNDS = """bounds AS (SELECT s_suppkey AS key, -1.0 - s_nationkey % 3 AS lo, 1.5 AS hi, s_name AS source FROM supplier),
-external AS (SELECT b.key, 'tmean_c' AS variable, 'external warming benchmark' AS "check",
+external AS (SELECT b.key, 'tmean_c' AS variable, 'published warming range' AS "check",
   CASE WHEN t.key IS NULL THEN 'FAIL' WHEN total_change_n BETWEEN lo AND hi THEN 'PASS' ELSE 'WARN' END AS status,
-  CASE WHEN t.key IS NULL THEN 'no headline tmean_c trend present' ELSE printf('total %+.2f °C over %dy %s [%+.1f, %+.1f] — %s',
-    total_change_n, t.n, CASE WHEN total_change_n BETWEEN lo AND hi THEN 'in' ELSE 'outside' END, lo, hi, source) END AS note
+  CASE WHEN t.key IS NULL THEN 'the key has no trend of tmean_c' ELSE printf('%+.2f °C in %d years, %s %+.1f to %+.1f (%s)',
+    total_change_n, t.n, CASE WHEN total_change_n BETWEEN lo AND hi THEN 'within' ELSE 'not within' END, lo, hi, source) END AS note
   FROM bounds b LEFT JOIN trends t ON b.key = t.key AND t.variable = 'tmean_c' AND t.key % 7 <> 0)"""
 
 
@@ -257,16 +252,16 @@ def qc_summary(spark: SparkSession, d: str) -> DataFrame:
 
 @query(
     f"""WITH {SQL_ANNUAL}, {sql_trends('annual_long', 'year', 5)}, {_BANDS_SQL}, {_RANGE_SQL}
-SELECT key, variable, 'range' AS "check", 'FAIL' AS status, 'first violator y' || year || ': ' || printf('%.3f', value)
-  || ' outside [' || lo || ', ' || hi || ']' AS note FROM bad
+SELECT key, variable, 'range' AS "check", 'FAIL' AS status, 'in ' || year || ' the value ' || printf('%.3f', value)
+  || ' leaves the band from ' || lo || ' to ' || hi AS note FROM bad
 UNION ALL SELECT key, 'tmean_c', 'annual mean recompute', 'PASS', count(*) || ' years agree' FROM annual GROUP BY key
 UNION ALL SELECT key, 'prcp_mm', 'annual sum recompute', 'PASS', count(*) || ' years agree' FROM annual GROUP BY key
-UNION ALL SELECT key, variable, 'Theil-Sen / MK edge case', 'WARN',
-  'zero slope flagged significant — series is dominated by zeros' FROM trends WHERE significant_95 AND slope_per_year = 0
-UNION ALL SELECT key, variable, 'external warming benchmark',
+UNION ALL SELECT key, variable, 'flat but significant', 'WARN',
+  'significant although the slope is zero, as where most values are' FROM trends WHERE significant_95 AND slope_per_year = 0
+UNION ALL SELECT key, variable, 'published warming range',
   CASE WHEN total_change_n BETWEEN -1 AND 1 THEN 'PASS' ELSE 'WARN' END,
-  printf('total %+.2f °C over %dy %s [-1.0, +1.0] — own estimate', total_change_n, n,
-    CASE WHEN total_change_n BETWEEN -1 AND 1 THEN 'in' ELSE 'outside' END) FROM trends WHERE variable = 'tmean_c'"""
+  printf('%+.2f °C in %d years, %s -1.0 to +1.0 (own estimate)', total_change_n, n,
+    CASE WHEN total_change_n BETWEEN -1 AND 1 THEN 'within' ELSE 'not within' END) FROM trends WHERE variable = 'tmean_c'"""
 )
 def audit_findings(spark: SparkSession, d: str) -> DataFrame:
     """All four checks over the flags, on published tables."""

@@ -82,6 +82,30 @@ def test_default_layout_and_missing_folder(spark, tmp_path):
         daily.read_raw(spark, str(empty))
 
 
+def test_blanks_and_times_in_csv(spark, tmp_path):
+    write(tmp_path / "zion" / "zion.csv", " date , DAYMET_tmax\n 2000-01-01 00:00:00 , 1.5 \n2000-01-02,2\n")
+    rows = daily.read_raw(spark, str(tmp_path)).orderBy("date").collect()
+    assert [(r.date, r.DAYMET_tmax) for r in rows] == [(dt.date(2000, 1, 1), 1.5), (dt.date(2000, 1, 2), 2.0)]
+
+
+@pytest.mark.parametrize("kind", ["csv", "parquet"])
+def test_what_is_written_is_read_by_the_default_layout(spark, frame, tmp_path, kind):
+    rows = [("zion", "all", dt.date(2000, 1, 1), 1.0), ("007", "part-1", dt.date(2000, 1, 2), 2.0)]
+    df = frame(rows, "key string, part string, date date, DAYMET_tmax double")
+    sinks.write_daily(df, str(tmp_path / "out"))
+    back = daily.read_raw(spark, str(tmp_path / "out" / kind), columns=["DAYMET_tmax"])
+    assert sorted(tuple(r) for r in back.select(*df.columns).collect()) == sorted(rows)
+
+
+def test_summaries_by_line_and_by_file(spark, frame, tmp_path):
+    docs = frame([(f"k{i}", i) for i in range(20)], "key string, n int").repartition(2)
+    sinks.write_summaries(docs, str(tmp_path / "lines"), folders=False)
+    assert documents.read_summaries(spark, str(tmp_path / "lines"), docs.schema).count() == 20
+    write(tmp_path / "whole" / "a.json", '{"key": "a",\n "n": 1}')
+    whole = documents.read_summaries(spark, str(tmp_path / "whole"), docs.schema, whole_files=True)
+    assert [tuple(r) for r in whole.collect()] == [("a", 1)]
+
+
 def test_gzip_part_only_where_there_are_several(spark, tmp_path):
     for key, part in [("a", "a_part-0"), ("a", "a_part-1"), ("b", "b")]:
         (tmp_path / key).mkdir(exist_ok=True)
@@ -141,8 +165,8 @@ def test_stems_and_parts(frame):
     stem = file_stem(F.col("key"), part_label(F.col("m"), F.col("i")))
     got = [r.s for r in df.select(stem.alias("s")).collect()]
     assert got == ["zion", "saguaro_part-1"]
-    keys = df.select(file_key(stem).alias("k"), candidate_stems(F.col("key")).alias("c"), stem.alias("s")).collect()
-    assert all(r.s in r.c and len(r.c) == 11 for r in keys) and keys[1].k == "saguaro"
+    keys = df.select(file_key(stem).alias("k"), candidate_stems(F.col("key"), F.when(F.col("m"), 14).otherwise(0)).alias("c"), stem.alias("s")).collect()
+    assert [len(r.c) for r in keys] == [1, 15] and all(r.s in r.c for r in keys) and keys[1].k == "saguaro"
 
 
 @pytest.mark.parametrize(

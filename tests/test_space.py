@@ -58,9 +58,11 @@ def test_random_polygons_against_brute_force(spark):
 def test_coarsening_keeps_an_even_grid(spark):
     zones = small_table(spark, {"zone": ["z", "far"], "polygons": [[[SQUARE]], [[FAR]]]})
     members = zonal.assign_cells(grid(spark), zones, ["zone"])
-    out = {r.zone: (r.n, r.s) for r in zonal.coarsen(members, ["zone"], 25).groupBy("zone").agg(
-        F.count("*").alias("n"), F.max("stride").alias("s")).collect()}
-    assert out == {"z": (25, 2), "far": (4, 1)}
+    out = {r["zone"]: r["count"] for r in zonal.coarsen(members, 2).groupBy("zone").count().collect()}
+    assert out == {"z": 25, "far": 1}
+    assert zonal.coarsen(members, 1).count() == members.count()
+    with pytest.raises(ValueError):
+        zonal.coarsen(members, 0)
 
 
 def test_parts_and_zonal_mean(spark):
@@ -76,8 +78,23 @@ def test_parts_and_zonal_mean(spark):
 
 def test_part_limit(spark):
     zones = small_table(spark, {"key": ["k"], "polygons": [[[SQUARE]] * 12]})
-    assert zonal.split_parts(zones, ["key"]).count() == 8
-    assert zonal.split_parts(zones, ["key"], None).count() == 12
+    assert zonal.split_parts(zones, ["key"]).count() == 12
+    assert zonal.split_parts(zones, ["key"], 8).count() == 8
+
+
+def test_parts_have_the_same_numbers_however_features_arrive(spark):
+    rings = [[[[float(i % 5), float(i)], [float(i), 1.0], [2.0, 2.0]]] for i in range(30)]
+    layer = spark.createDataFrame(
+        [("k", i, 1.0, [r]) for i, r in enumerate(rings)],
+        "key string, feature int, GIS_Acres double, polygons array<array<array<array<double>>>>",
+    )
+    found = []
+    for n in (1, 3, 11):
+        for order in ([], ["feature"]):
+            parts = zonal.split_parts(boundary.merge_units(layer.repartition(n, "feature"), order=order), ["key"])
+            found.append([r.polygons for r in parts.orderBy("part_index").collect()])
+    assert found[0] == found[2] == found[4] and found[1] == found[3] == found[5]
+    assert found[1] == [[r] for r in rings]
 
 
 def test_area_series(spark):

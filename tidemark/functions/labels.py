@@ -83,10 +83,11 @@ def file_key(stem: Column) -> Column:
     return F.substring_index(stem, "_part-", 1)
 
 
-def candidate_stems(key: Column, parts: int = 10) -> Column:
-    """The names under which files of a key may be found: whole, or by part."""
+def candidate_stems(key: Column, parts: Column | int) -> Column:
+    """The names under which files of a key with so many parts may be found: whole, or by part."""
+    count = F.lit(parts) if isinstance(parts, int) else parts
     numbered = F.transform(
-        F.sequence(F.lit(0), F.lit(parts - 1)),
+        F.when(count > 0, F.sequence(F.lit(0), count.cast("int") - 1)).otherwise(F.array().cast("array<int>")),
         lambda i: F.concat(key, F.lit("_part-"), i.cast("string")),
     )
     return F.concat(F.array(key), numbered)

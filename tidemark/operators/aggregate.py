@@ -180,6 +180,13 @@ def spread_availability(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.withColumn(AVAIL, F.bit_or(AVAIL).over(Window.partitionBy(*keys)))
 
 
+def only_available(wide: DataFrame, variables: Sequence[str]) -> DataFrame:
+    """The wide rows with NULL for variables a series lacks, whose empty sums would read as zero."""
+    if AVAIL not in wide.columns:
+        return wide
+    return wide.withColumns({v: F.when(_available(v), F.col(v)) for v in variables})
+
+
 def to_long(
     wide: DataFrame, ids: Sequence[str], variables: Sequence[str] | None = None
 ) -> DataFrame:

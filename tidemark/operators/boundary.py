@@ -32,15 +32,20 @@ def unmatched(keys: DataFrame, matched: DataFrame, key: str = "key") -> DataFram
     return keys.join(matched.select(key), key, "left_anti")
 
 
-def merge_units(matched: DataFrame, key: str = "key", acres: str = "GIS_Acres") -> DataFrame:
+def merge_units(
+    matched: DataFrame, key: str = "key", acres: str = "GIS_Acres", order: Sequence[str] = ()
+) -> DataFrame:
     """All polygons of a key in one row, with the summed area.
 
+    They stand in the order of the columns ``order``, and of their vertices where these are equal,
+    so that parts numbered from them are the same in every run, however rows arrive.
+
     A collection of the polygons, without dissolving common borders, for documents that
     hold one geometry per key. Zonal means do not need it: ``assign_cells`` takes any
     number of rows with the same zone id.
     """
     return matched.groupBy(key).agg(
-        F.flatten(F.collect_list("polygons")).alias("polygons"),
+        F.flatten(F.sort_array(F.collect_list(F.struct(*order, "polygons")))["polygons"]).alias("polygons"),
         acres_to_km2(F.sum(acres)).alias("area_km2"),
     )
 

@@ -34,11 +34,12 @@ def trend_statistics(
 ) -> DataFrame:
     """One row per ``(*keys, variable)`` with slope, intercept, S, its variance, Z and p.
 
-    Missing values are dropped, and series with fewer than ``min_points`` left with them.
+    Missing and infinite values are dropped, and series with fewer than ``min_points`` left with
+    them. A series has one value per period; aggregate raw values first.
     """
     point = F.struct(F.col(x).cast("double").alias("x"), F.col(value).alias("y"))
     rows = (
-        series.where(F.col(value).isNotNull() & ~F.isnan(value))
+        series.where(F.col(value).isNotNull() & ~F.isnan(value) & (F.abs(value) < float("inf")))
         .groupBy(*keys, "variable")
         .agg(F.sort_array(F.collect_list(point)).alias("pts"), F.count(F.lit(1)).cast("int").alias("n"))
         .where(F.col("n") >= max(min_points, 2))

@@ -14,14 +14,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.geometry import inside, ring_edges
-from tidemark.operators.scaling import with_group
-from tidemark.spec import MAX_PARTS
 
 
 def split_parts(
-    zones: DataFrame, keep: Sequence[str], max_parts: int | None = MAX_PARTS, part: str = "part_index"
+    zones: DataFrame, keep: Sequence[str], max_parts: int | None = None, part: str = "part_index"
 ) -> DataFrame:
-    """One row per disjoint polygon, numbered from 0; the first ``max_parts`` of each key."""
+    """One row per disjoint polygon, numbered from 0 in the order they are stored in.
+
+    All parts are kept; only a caller who names ``max_parts`` gets no more than the first of each key.
+    """
     out = zones.select(*keep, F.posexplode("polygons").alias(part, "polygon"))
     if max_parts is not None:
         out = out.where(F.col(part) < max_parts)
@@ -84,19 +85,11 @@ def assign_cells(
     return pairs.select(*cells.columns, *ids)
 
 
-def coarsen(
-    cell_zone: DataFrame, ids: Sequence[str], max_cells: int, row: str = "row", col: str = "col"
-) -> DataFrame:
-    """Keep a regular sub-grid of zones with more than ``max_cells`` cells.
-
-    The stride is the smallest that brings an even grid under the limit. The count is
-    an aggregate joined back, so a zone that holds most cells fills no single task.
-    """
-    sizes = cell_zone.groupBy(*ids).agg(F.count(F.lit(1)).alias("_cells"))
-    stride = F.ceil(F.sqrt(F.col("_cells") / F.lit(float(max_cells)))).cast("int")
-    marked = with_group(cell_zone, sizes.withColumn("stride", F.greatest(F.lit(1), stride)), ids)
-    on_grid = (F.col(row) % F.col("stride") == 0) & (F.col(col) % F.col("stride") == 0)
-    return marked.where(on_grid).drop("_cells")
+def coarsen(cell_zone: DataFrame, stride: int, row: str = "row", col: str = "col") -> DataFrame:
+    """Every ``stride``-th row and column of the grid: a coarser grid for all zones alike."""
+    if stride < 1:
+        raise ValueError("the stride is at least one")
+    return cell_zone.where((F.col(row) % stride == 0) & (F.col(col) % stride == 0))
 
 
 def zonal_mean(

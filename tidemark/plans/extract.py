@@ -9,12 +9,12 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.calendar import in_dates
 from tidemark.functions.labels import part_label
-from tidemark.operators.canonical import coalesce_dates, merge_sources, present_by_dataset_choice
-from tidemark.operators.zonal import assign_cells, coarsen, split_parts, zonal_mean
+from tidemark.operators.canonical import coalesce_dates, merge_sources
+from tidemark.operators.zonal import assign_cells, split_parts, zonal_mean
 from tidemark.session import broadcast_within, materialise
 from tidemark.sources.registry import only_keys
 from tidemark.sources.sinks import write_daily
-from tidemark.spec import MAX_PARTS
+from tidemark.spec import DEFAULT_SPEC, PRESENT, SeriesSpec
 
 
 #: a cell and its zone take some 60 bytes, so a full broadcast is about 120 MB
@@ -25,7 +25,7 @@ class UnknownArea(ValueError):
     """A name or key that no boundary matches."""
 
 
-def zones_by_key(boundaries: DataFrame, max_parts: int | None = MAX_PARTS) -> DataFrame:
+def zones_by_key(boundaries: DataFrame, max_parts: int | None = None) -> DataFrame:
     """``key, part, polygons``: one zone per part of a multipart key, one zone ``all`` for others.
 
     ``boundaries`` has ``key, multipart, polygons``.
@@ -45,6 +45,7 @@ def daily_series(
     ids: Sequence[str] = ("key", "part"),
     barred: DataFrame | None = None,
     max_broadcast: int = MAX_BROADCAST_CELLS,
+    spec: SeriesSpec = DEFAULT_SPEC,
 ) -> DataFrame:
     """Zonal means of several data sources merged to one row per zone and date.
 
@@ -53,23 +54,27 @@ def daily_series(
     ``barred`` lists ``(dataset, key)`` a source does not serve. The date range is half
     open and is filtered on the scan.
 
+    ``_present`` tells which columns a zone has: those of the bands of each source that has
+    cells in it and is not barred, on all its dates.
+
     The membership of up to ``max_broadcast`` cells goes to every task, and the daily
     cells stay where they are read. Beyond that the join shuffles by cell; a table that
     is bucketed by ``cell_id`` avoids this too.
     """
-    means = []
+    means, served = [], []
     for name, cells in grids.items():
         zone = members.where(F.col("dataset") == name)
         if barred is not None:
             zone = zone.join(barred, ["dataset", "key"], "left_anti")
         inside = cells.where(in_dates(F.col("date"), start, end))
         zone = broadcast_within(zone.select("cell_id", *ids), max_broadcast)
+        mask = F.lit(spec.source_mask([f"{name}_{b}" for b in bands[name]])).cast("long").alias(PRESENT)
+        served.append(zone.select(*ids, mask).distinct())
         mean = zonal_mean(inside, zone, ids, bands[name])
         means.append(mean.withColumnsRenamed({b: f"{name}_{b}" for b in bands[name]}))
-    merged = merge_sources(means)
-    if "key" in ids:
-        merged = merged.withColumn("_present", present_by_dataset_choice(F.col("key")))
-    return coalesce_dates(merged, ids)
+    masks = merge_sources(served).groupBy(*ids).agg(F.bit_or(PRESENT).alias(PRESENT))
+    # a row per zone: Spark sends it to every task where its size allows
+    return coalesce_dates(merge_sources(means), ids).join(masks, list(ids))
 
 
 def cell_membership(
@@ -77,7 +82,6 @@ def cell_membership(
     zones: DataFrame,
     ids: Sequence[str] = ("key", "part"),
     tile: float = 1.0,
-    max_cells: int | None = None,
 ) -> DataFrame:
     """``(dataset, cell_id, *ids)`` for all grids.
 
@@ -87,8 +91,6 @@ def cell_membership(
     parts = []
     for name, cells in grid_cells.items():
         inside = assign_cells(cells, zones, ids, tile=tile)
-        if max_cells is not None:
-            inside = coarsen(inside, ids, max_cells)
         parts.append(inside.select(F.lit(name).alias("dataset"), "cell_id", *ids))
     return merge_sources(parts)
 
@@ -121,9 +123,14 @@ def export_areas(
     keys: Sequence[str] | None = None,
     barred: DataFrame | None = None,
     tile: float = 1.0,
-    max_cells: int | None = None,
+    max_parts: int | None = None,
+    formats: Sequence[str] = ("parquet",),
 ) -> None:
-    """Write the daily series of all keys, or of some, in one folder per key and part."""
-    zones = zones_by_key(only_keys(boundaries, keys))
-    members = materialise(cell_membership(grid_cells, zones, tile=tile, max_cells=max_cells), "members")
-    write_daily(daily_series(grids, members, bands, start, end, barred=barred).drop("_present"), path)
+    """Write the daily series of all keys, or of some, in one folder per key and part.
+
+    ``_present`` is written along, so that a reader knows which columns a series has. ``max_parts``
+    limits the parts of a key only if it is named.
+    """
+    zones = zones_by_key(only_keys(boundaries, keys), max_parts)
+    members = materialise(cell_membership(grid_cells, zones, tile=tile), "members")
+    write_daily(daily_series(grids, members, bands, start, end, barred=barred), path, formats=formats)

@@ -12,6 +12,7 @@ from tidemark.operators.aggregate import (
     annual_from_partials,
     month_partials,
     monthly_from_partials,
+    only_available,
     period_of_record,
     seasonal_from_partials,
     spread_availability,
@@ -83,18 +84,18 @@ def summary_tables(
     by_part = both.where(~F.col(COMBINED)).drop(COMBINED)
 
     names = [v for v in (how or DEFAULT_SPEC.how) if f"{v}__sum" in months.columns]
-    year = annual_from_partials(months, [KEY], how, limits.min_days_per_year)
+    year = only_available(annual_from_partials(months, [KEY], how, limits.min_days_per_year), names)
     long = to_long(year, [KEY, "year"], names)
     anomaly = anomalies(long, [KEY], limits.reference)
     trend = hold(trends(long, [KEY], min_points=limits.min_trend_points), "trends")
     monthly = monthly_from_partials(months, [KEY], how)
     with_trend = monthly.join(trend.select(KEY, "variable"), [KEY, "variable"], "left_semi")
 
-    part_year = annual_from_partials(by_part, [KEY, "part"], how, limits.min_days_per_year)
+    part_year = only_available(annual_from_partials(by_part, [KEY, "part"], how, limits.min_days_per_year), names)
     part_long = to_long(part_year, [KEY, "part", "year"], names)
     return SummaryTables(
         annual=year,
-        seasonal=seasonal_from_partials(months, [KEY], how),
+        seasonal=only_available(seasonal_from_partials(months, [KEY], how), names),
         anomalies=anomaly,
         trends=trend,
         stripes=stripes(anomaly, [KEY]),

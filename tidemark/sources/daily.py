@@ -19,10 +19,13 @@ from tidemark.spec import DEFAULT_SPEC, PRESENT, RAW_COLUMNS, SeriesSpec
 #: per-file tables up to this many rows are sent to every task: some 300 bytes each
 MAX_BROADCAST_FILES = 500_000
 
-#: ``<key>/<part>.<suffix>``
+#: ``<key>/<part>.<suffix>``; folders ``key=<key>/part=<part>`` of files are understood as well
 LAYOUT = r"([^/]+)/([^/]+?)(?:\.csv\.gz|\.csv|\.parquet)$"
 
 
+FOLDERS = r"(?:^|/)key=([^/]+)/part=([^/]+)/[^/]+$"
+
+
 def _listing(spark: SparkSession, root: str, glob: str, layout: str) -> DataFrame:
     """Files below a folder as ``path, key, part``. Only names are read."""
     files = (
@@ -36,10 +39,11 @@ def _listing(spark: SparkSession, root: str, glob: str, layout: str) -> DataFram
 
 
 def _key_part(path: Column, layout: str) -> tuple[Column, Column]:
-    return (
-        F.regexp_extract(path, layout, 1).alias("key"),
-        F.regexp_extract(path, layout, 2).alias("part"),
-    )
+    def group(i: int) -> Column:
+        plain = F.regexp_extract(path, layout, i)
+        return F.when(path.rlike(FOLDERS), F.regexp_extract(path, FOLDERS, i)).otherwise(plain) if layout == LAYOUT else plain
+
+    return group(1).alias("key"), group(2).alias("part")
 
 
 def _raw_schema(columns: Sequence[str]) -> str:
@@ -71,7 +75,8 @@ def _read_csv(
     lines = reader.text(root).select(F.col("_metadata.file_path").alias("_path"), "value")
 
     def fields(line: str) -> Column:
-        return F.split(F.regexp_replace(line, r'[" \r]', ""), ",")
+        # blanks around a value go, those inside (a date with a time) stay
+        return F.split(F.trim(F.regexp_replace(line, r'["\r]', "")), " *, *")
 
     headers = (
         lines.where(F.array_contains(fields("value"), "date"))

@@ -55,6 +55,9 @@ def read_layer(
     return spark.read.parquet(path).where(F.col("Mang_Name") == manager).select(*columns)
 
 
-def read_summaries(spark: SparkSession, path: str, schema) -> DataFrame:
-    """Summary documents, one file or line each, as nested rows."""
-    return spark.read.schema(schema).json(path, multiLine=True)
+def read_summaries(spark: SparkSession, path: str, schema, whole_files: bool = False) -> DataFrame:
+    """Summary documents as nested rows: one per line, as the writers write them.
+
+    With ``whole_files`` each file is one document, which may span lines.
+    """
+    return spark.read.schema(schema).json(path, multiLine=whole_files)

@@ -29,15 +29,18 @@ def write_daily(
 
     Rows are rebalanced by key first: few files per folder, and a key with very many
     rows is split over several tasks. Dates are sorted within a file, so that Parquet
-    statistics can prune a date range.
+    statistics can prune a date range. Parquet is written first and other formats are
+    made from it, so that the series are computed once.
     """
-    placed = df.hint("rebalance", *[F.col(k) for k in keys]).sortWithinPartitions(*keys, "date")
-    for kind in formats:
+    for kind in sorted(formats, key=lambda k: k != "parquet"):
+        placed = df.hint("rebalance", *[F.col(k) for k in keys]).sortWithinPartitions(*keys, "date")
         writer = placed.write.mode("errorifexists").partitionBy(*keys)
         if kind == "csv":
             writer.option("header", True).csv(f"{path}/{kind}")
         else:
             writer.format(kind).save(f"{path}/{kind}")
+        if kind == "parquet":
+            df = df.sparkSession.read.schema(df.schema).parquet(f"{path}/parquet")
 
 
 def write_summaries(docs: DataFrame, path: str, key: str = "key", folders: bool = True) -> None:

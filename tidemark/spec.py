@@ -106,4 +106,3 @@ MIN_DECOMPOSE_DAYS = 24 * 28
 MIN_DECOMPOSE_MONTHS = 24
 ROLLING_MONTHS = 12
 ALPHA = 0.05
-MAX_PARTS = 8
