@@ -65,3 +65,25 @@ def test_odd_vectors(spark):
     (none,) = [r for r in got if r["vec_id"] is None]
     assert (none["n_links"], none["component_id"], none["kept"]) == (0, None, False)
     assert neighbours.near_vectors(df.limit(0)).count() == 0
+
+
+def crowd(n, share, pair_cosine, dims=64, seed=5):
+    """Random directions, and a crowd of different near copies that holds ``share`` of all rows."""
+    rng = np.random.default_rng(seed)
+    x = rng.normal(size=(n, dims))
+    m = int(n * share)
+    centre = rng.normal(size=dims)
+    centre *= np.sqrt(pair_cosine / (1 - pair_cosine) * dims) / np.linalg.norm(centre)
+    x[:m] += centre
+    return rng.permutation(x)
+
+
+@pytest.mark.parametrize("n, pair_cosine", [(3000, 0.92), (9000, 0.92), (9000, 0.88)])
+def test_crowds_of_near_copies_keep_their_links(spark, n, pair_cosine):
+    x = crowd(n, 1 / 3, pair_cosine).astype(np.float32)
+    df = spark.createDataFrame([(i, r.tolist(), "", 0) for i, r in enumerate(x)], SCHEMA).repartition(3)
+    unit = x.astype(np.float64)
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    total = int((unit @ unit.T >= 0.9).sum()) - n
+    got = neighbours.near_vectors(df).toPandas()
+    assert 0.99 * total <= got["n_links"].sum() <= total

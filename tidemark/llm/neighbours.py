@@ -2,9 +2,13 @@
 
 A vector is described by the order of the reference points (pivots) nearest to it. The first
 few are its prefix, and an inverted list for each pivot holds the vectors with it in their
-prefix. Vectors that share enough pivots are candidates and are verified by their cosine in
+prefix. Vectors that share a pivot are candidates and are verified by their cosine in
 double precision. A pair is judged in one list only, that of the first pivot both share.
 
+Pivots lie far apart, so a crowd of near copies has one, however many rows it holds. A prefix
+ends two link angles beyond its nearest pivot: of two linked vectors each then has the other's
+nearest pivot in reach, and a crowd is compared in full in the few lists that it is in.
+
 Equal vectors are one entry with a count. A list longer than a task should hold is cut into
 parts that meet in pairs. Links stay inside a task: each vector leaves with its number of
 links and one link towards its component.
@@ -27,9 +31,11 @@ COSINE = 0.9
 #: pivots are this many times the root of the number of vectors, within bounds; they are the sample the index is fitted on
 PIVOTS_PER_ROOT = 4
 MIN_PIVOTS, MAX_PIVOTS = 64, 65_536
-#: nearest pivots that describe a vector, and how many of them candidates share
+#: vectors looked at for each pivot wanted; of two with at least this cosine one becomes a pivot
+SAMPLE_PER_PIVOT = 2
+APART = 0.5
+#: nearest pivots that describe a vector, at most
 PREFIX = 12
-SHARED = 2
 #: entries of a list that one task compares
 LIST_ROWS = 4096
 #: comparisons that are worked on at a time
@@ -41,25 +47,46 @@ def _unit(vectors: pd.Series) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def prefixes(unit: np.ndarray, pivots: np.ndarray, length: int) -> np.ndarray:
-    """The numbers of the nearest pivots, nearest first; of equally near ones the lower first."""
+def spread(unit: np.ndarray, wanted: int, apart: float = APART) -> np.ndarray:
+    """Of the rows in their order those that have a cosine below ``apart`` with all taken before, ``wanted`` at most."""
+    taken = unit[:0]
+    for at in range(0, len(unit), 1024):
+        block = unit[at : at + 1024]
+        block = block[(block @ taken.T < apart).all(axis=1)]
+        close, free, own = block @ block.T >= apart, np.ones(len(block), bool), []
+        for i in range(len(block)):
+            if free[i]:
+                own.append(i)
+                free &= ~close[i]
+        taken = np.concatenate([taken, block[own]])[:wanted]
+        if len(taken) == wanted:
+            break
+    return taken
+
+
+def prefixes(unit: np.ndarray, pivots: np.ndarray, length: int, cosine: float = -1.0) -> np.ndarray:
+    """The numbers of the nearest pivots, nearest first; of equally near ones the lower first.
+
+    Pivots further than the nearest by more than twice the angle of ``cosine`` are left out, as -1.
+    """
     near = -(unit @ pivots.T)
-    return np.argsort(near, axis=1, kind="stable")[:, :length]
+    out = np.argsort(near, axis=1, kind="stable")[:, :length]
+    angles = np.arccos(np.clip(-np.take_along_axis(near, out, axis=1), -1, 1))
+    return np.where(angles <= angles[:, :1] + 2 * np.arccos(np.clip(cosine, -1, 1)) + 1e-6, out, -1)
 
 
-def compare(pivot: int, unit: np.ndarray, prefix: np.ndarray, part: np.ndarray | None, cosine: float, shared: int):
+def compare(pivot: int, unit: np.ndarray, prefix: np.ndarray, part: np.ndarray | None, cosine: float):
     """Row pairs of an inverted list that are linked and have ``pivot`` as the first they share.
 
     With ``part``, only pairs of different parts are compared.
     """
     names, place = np.unique(prefix, return_inverse=True)
     place = place.reshape(prefix.shape)
-    bits = np.zeros((len(unit), -(-len(names) // 64)), np.uint64)
-    rows = np.repeat(np.arange(len(unit)), prefix.shape[1])
-    np.bitwise_or.at(bits, (rows, place.ravel() // 64), np.uint64(1) << (place.ravel() % 64).astype(np.uint64))
     own = int(np.searchsorted(names, pivot))
-    below = bits[:, : own // 64 + 1].copy()
-    below[:, -1] &= np.uint64((1 << own % 64) - 1)
+    below = np.zeros((len(unit), -(-own // 64)), np.uint64)  # the pivots of each row before this one
+    rows, at = np.nonzero((prefix >= 0) & (prefix < pivot))
+    at = place[rows, at]
+    np.bitwise_or.at(below, (rows, at // 64), np.uint64(1) << (at % 64).astype(np.uint64))
     step = max(1, SLAB // len(unit))
     for at in range(0, len(unit), step):
         close = unit[at : at + step] @ unit.T >= cosine
@@ -69,13 +96,12 @@ def compare(pivot: int, unit: np.ndarray, prefix: np.ndarray, part: np.ndarray |
         i, j = i[keep], j[keep]
         for k in range(0, len(i), SLAB // 8):
             a, b = i[k : k + SLAB // 8], j[k : k + SLAB // 8]
-            ok = np.bitwise_count(bits[a] & bits[b]).sum(axis=1) >= shared
-            ok &= ~(below[a] & below[b]).any(axis=1)
+            ok = ~(below[a] & below[b]).any(axis=1)
             yield a[ok], b[ok]
 
 
 def near_vectors(
-    vectors: DataFrame, cosine: float = COSINE, prefix: int = PREFIX, shared: int = SHARED, list_rows: int = LIST_ROWS
+    vectors: DataFrame, cosine: float = COSINE, prefix: int = PREFIX, list_rows: int = LIST_ROWS
 ) -> DataFrame:
     """``vec_id``, ``n_links``, ``component_id`` and ``kept`` for every row of ``vec_id`` and ``embedding``.
 
@@ -99,11 +125,12 @@ def near_vectors(
     unique = materialise(unique, "unique-vectors")
     count = unique.count()
     wanted = min(count, MAX_PIVOTS, max(MIN_PIVOTS, math.ceil(PIVOTS_PER_ROOT * math.sqrt(count))))
-    chosen = unique.select("key", "node", "v").orderBy("key", "node").limit(max(1, wanted)).collect()
+    # At most SAMPLE_PER_PIVOT * MAX_PIVOTS vectors.
+    chosen = unique.select("key", "node", "v").orderBy("key", "node").limit(max(1, SAMPLE_PER_PIVOT * wanted)).collect()
     by_size: dict[int, list] = {}
     for r in chosen:
         by_size.setdefault(len(r["v"]), []).append(r["v"])
-    sent = vectors.sparkSession.sparkContext.broadcast({n: _unit(pd.Series(v)) for n, v in by_size.items()})
+    sent = vectors.sparkSession.sparkContext.broadcast({n: spread(_unit(pd.Series(v)), wanted) for n, v in by_size.items()})
 
     def describe(batches):
         for b in batches:
@@ -114,12 +141,12 @@ def near_vectors(
                 if pivots is None:  # no pivot of this length: the vectors of a rare length share one list
                     lists = np.zeros((len(part), 1), np.int64)
                 else:
-                    lists = prefixes(_unit(part["v"]), pivots, prefix)
+                    lists = prefixes(_unit(part["v"]), pivots, prefix, cosine)
                 yield part[["node", "copies", "v"]].assign(size=int(n), prefix=list(lists))
 
     fields = "node long, copies long, v array<double>, size int, prefix array<long>"
     entries = materialise(unique.mapInPandas(describe, fields), "prefixes")
-    listed = entries.select("*", F.explode("prefix").alias("pivot"))
+    listed = entries.select("*", F.explode("prefix").alias("pivot")).where("pivot >= 0")
     long_lists = materialise(listed.groupBy("size", "pivot").count().where(F.col("count") > list_rows), "long-lists")
     # At most PREFIX * MAX_PIVOTS rows; the join decides by their size whether to broadcast.
     parts = long_lists.select("size", "pivot", F.ceil(F.col("count") / list_rows).cast("int").alias("parts"))
@@ -137,7 +164,7 @@ def near_vectors(
             part = b["part"].to_numpy() if low != high else None
             lists = np.array(b["prefix"].to_list(), np.int64)
             links, parent = np.zeros(len(b), np.int64), np.arange(len(b))
-            for i, j in compare(pivot, _unit(b["v"]), lists, part, cosine, min(shared, lists.shape[1])):
+            for i, j in compare(pivot, _unit(b["v"]), lists, part, cosine):
                 np.add.at(links, i, copies[j])
                 np.add.at(links, j, copies[i])
                 _join(parent, i, j)
