@@ -29,10 +29,12 @@ from tidemark.functions import labels
 from tidemark.functions.values import acres_to_km2, finite_or_null, numbers_finite
 from tidemark.operators import aggregate, browse
 from tidemark.operators.boundary import is_real
+from tidemark.operators.canonical import canonicalise, coalesce_dates, combine_parts
 from tidemark.plans.boundaries import PROPERTIES, boundaries_with_slopes
 from tidemark.plans.summary import INDEX_FIELDS, summary_documents
 from tidemark.session import new_folder
 from tidemark.sources import daily, documents, sinks
+from tidemark.sources.catalogue import key_part
 from tidemark.spec import DEFAULT_SPEC, PRESENT
 
 
@@ -155,7 +157,8 @@ def _as_raw(spark: SparkSession, d: str) -> DataFrame:
 
 _RAW_COLUMNS = ["DAYMET_tmax", "DAYMET_tmin", "DAYMET_prcp", "ERA5_snow_cover", "ERA5_snow_depth"]
 _ROUND_TRIP = f"""WITH {SQL_CANONICAL} SELECT key, part, date, tmax_c AS "DAYMET_tmax", tmin_c AS "DAYMET_tmin",
-  prcp_mm AS "DAYMET_prcp", wind_speed_ms AS "ERA5_snow_cover", CAST(NULL AS DOUBLE) AS "ERA5_snow_depth" FROM canonical"""
+  prcp_mm AS "DAYMET_prcp", wind_speed_ms AS "ERA5_snow_cover", CAST(NULL AS DOUBLE) AS "ERA5_snow_depth",
+  CAST({DEFAULT_SPEC.source_mask(_RAW_COLUMNS[:4])} AS BIGINT) AS _present FROM canonical"""
 
 
 @query(_ROUND_TRIP)
@@ -163,7 +166,7 @@ def daily_files_parquet(spark: SparkSession, d: str) -> DataFrame:
     """Both formats are written; Parquet is preferred when read."""
     path = new_folder(spark, "daily")
     sinks.write_daily(_as_raw(spark, d), path)
-    return daily.read_raw(spark, path, columns=_RAW_COLUMNS).drop(PRESENT)
+    return daily.read_raw(spark, path, columns=_RAW_COLUMNS)
 
 
 @query(_ROUND_TRIP)
@@ -174,23 +177,117 @@ def daily_files_csv(spark: SparkSession, d: str) -> DataFrame:
     sinks.write_daily(rows.where(F.col("key") != "A"), f"{path}/one", formats=["csv"])
     other = rows.select("key", "part", "DAYMET_prcp", "ERA5_snow_cover", "date", "DAYMET_tmin", "DAYMET_tmax")
     sinks.write_daily(other.where(F.col("key") == "A"), f"{path}/two", formats=["csv"])
-    return daily.read_raw(spark, path, columns=_RAW_COLUMNS).drop(PRESENT)
+    return daily.read_raw(spark, path, columns=_RAW_COLUMNS)
+
+
+@query(_ROUND_TRIP + " WHERE key = 'A'")
+def daily_files_of_keys(spark: SparkSession, d: str) -> DataFrame:
+    """The files of one key; those of other keys are not opened."""
+    path = new_folder(spark, "daily")
+    sinks.write_daily(_as_raw(spark, d), path)
+    return daily.read_raw(spark, f"{path}/parquet", columns=_RAW_COLUMNS, keys=["A"])
+
+
+_RAGGED = f"""WITH {SQL_ANNUAL} SELECT key, year, variable, round(value, 6) AS value FROM annual_long
+WHERE value IS NOT NULL AND CASE key WHEN 'A' THEN variable IN ('tmax_c', 'tmin_c', 'tmean_c') WHEN 'N' THEN variable = 'prcp_mm'
+  ELSE variable IN ('tmax_c', 'prcp_mm') END"""
+
+
+def _ragged_years(spark: SparkSession, d: str, kind: str) -> DataFrame:
+    """Annual values of keys whose files have different columns."""
+    path, rows = new_folder(spark, "ragged"), _as_raw(spark, d)
+    for key, bands in (("A", ["DAYMET_tmin", "DAYMET_tmax"]), ("N", ["DAYMET_prcp"]), ("R", ["DAYMET_tmax", "DAYMET_prcp"])):
+        sinks.write_daily(rows.where(F.col("key") == key).select("key", "part", "date", *bands), f"{path}/{key}", formats=[kind])
+    days = canonicalise(coalesce_dates(daily.read_raw(spark, path), ["key", "part"]), ["key", "part"])
+    years = aggregate.annual(combine_parts(days.drop("part"), ["key"]), ["key"], min_rows=MIN_ROWS)
+    return rounded(aggregate.to_long(years, ["key", "year"]).where("value IS NOT NULL"), "value")
+
+
+@query(_RAGGED)
+def ragged_parquet_years(spark: SparkSession, d: str) -> DataFrame:
+    return _ragged_years(spark, d, "parquet")
+
+
+@query(_RAGGED)
+def ragged_csv_years(spark: SparkSession, d: str) -> DataFrame:
+    return _ragged_years(spark, d, "csv")
+
+
+def _damaged_files(spark: SparkSession, d: str) -> daily.Reading:
+    """Balances as series, with bad dates, numbers and widths, and a header without a date."""
+    n, path = F.col("c_custkey"), new_folder(spark, "damaged")
+    date = F.when(n % 11 == 0, "2001-13-01").otherwise(F.date_add(F.lit("2001-01-01"), n.cast("int")).cast("string"))
+    value = F.when(n % 7 == 0, "x").when(n % 5 == 0, "NA").otherwise(F.col("c_acctbal").cast("string"))
+    line = F.when(n % 13 == 0, date).otherwise(F.concat_ws(",", date, value))
+    rows = table(spark, d, "customer").select(
+        F.col("c_mktsegment").alias("key"), F.concat(F.lit("p"), n % 2).alias("part"), n.alias("n"), line.alias("line")
+    )
+    heads = rows.select("key", "part").distinct().withColumn("n", F.lit(-1).cast("long"))
+    heads = heads.withColumn("line", F.when(F.col("key") == "FURNITURE", "Date,DAYMET_tmax").otherwise("date,DAYMET_tmax"))
+    one_file = rows.unionByName(heads).repartition("key", "part").sortWithinPartitions("key", "part", "n").drop("n")
+    one_file.write.partitionBy("key", "part").option("sep", "\u0001").option("quote", "").csv(path)
+    return daily.read_raw_checked(spark, path, columns=["DAYMET_tmax"])
+
+
+SQL_DAMAGED = """
+lines AS (SELECT c_mktsegment AS key, 'p' || c_custkey % 2 AS part, c_custkey AS n, c_acctbal,
+  CASE WHEN c_custkey % 11 = 0 THEN '2001-13-01' ELSE CAST(CAST(DATE '2001-01-01' + CAST(c_custkey AS INTEGER) AS DATE) AS VARCHAR) END AS date
+  FROM customer)"""
+
+
+@query(
+    f"""WITH {SQL_DAMAGED} SELECT key, part, CAST(date AS DATE) AS date,
+  CASE WHEN n % 13 <> 0 AND n % 7 <> 0 AND n % 5 <> 0 THEN c_acctbal END AS "DAYMET_tmax",
+  CAST({DEFAULT_SPEC.source_mask(["DAYMET_tmax"])} AS BIGINT) AS _present
+FROM lines WHERE key <> 'FURNITURE' AND n % 11 <> 0"""
+)
+def rows_of_damaged_files(spark: SparkSession, d: str) -> DataFrame:
+    return _damaged_files(spark, d).rows
 
 
 @query(
-    f"""WITH {SQL_CANONICAL} SELECT key, CASE WHEN key <> 'N' THEN part END AS part, date, tmax_c AS "DAYMET_tmax",
-  CAST({DEFAULT_SPEC.source_mask(_RAW_COLUMNS[:3])} AS BIGINT) AS present
-FROM canonical WHERE key <> 'N' OR part = 'F'"""
+    f"""WITH {SQL_DAMAGED}, told AS (
+  SELECT key, part, n, date || CASE WHEN n % 13 = 0 THEN '' WHEN n % 7 = 0 THEN ',x' ELSE '' END AS line,
+    [CASE WHEN n % 13 = 0 THEN '1 values under 2 columns' END, CASE WHEN n % 11 = 0 THEN 'not a date: 2001-13-01' END,
+     CASE WHEN n % 13 <> 0 AND n % 7 = 0 THEN 'not a number: DAYMET_tmax x' END] AS reasons
+  FROM lines WHERE key <> 'FURNITURE')
+SELECT key, part, n % 13 = 0 AS cut, reason FROM (SELECT key, part, n, unnest(reasons) AS reason FROM told) WHERE reason IS NOT NULL
+UNION ALL SELECT DISTINCT key, part, NULL, 'no column date' FROM lines WHERE key = 'FURNITURE'"""
+)
+def rejects_of_damaged_files(spark: SparkSession, d: str) -> DataFrame:
+    """What was wrong with files and lines; ``cut`` tells lines without a second value."""
+    rejects = _damaged_files(spark, d).rejects
+    return rejects.select(*key_part(F.col("path")), (F.instr("line", ",") == 0).alias("cut"), "reason")
+
+
+@query(
+    """SELECT o_orderkey AS key, CASE WHEN o_orderkey % 3 = 0 THEN 'not JSON' ELSE 'without a type' END AS reason
+FROM orders WHERE o_orderkey % 3 = 0 OR o_orderkey % 4 = 0"""
+)
+def rejected_outlines(spark: SparkSession, d: str) -> DataFrame:
+    """Boundary files cut short, and such that are no feature."""
+    n = F.col("o_orderkey")
+    whole = '{"type":"FeatureCollection","features":[]}'
+    text = F.when(n % 3 == 0, whole[:30]).when(n % 4 == 0, '{"kind":"Feature"}').otherwise(whole)
+    files = table(spark, d, "orders").select(n.alias("key"), text.alias("value"))
+    return documents.rejected_boundaries(files).drop("line")
+
+
+@query(
+    f"""WITH {SQL_CANONICAL} SELECT key, part, date, tmax_c AS "DAYMET_tmax", tmin_c AS "DAYMET_tmin", prcp_mm AS "DAYMET_prcp",
+  CAST({DEFAULT_SPEC.source_mask(_RAW_COLUMNS[:3])} AS BIGINT) AS present FROM (
+    SELECT * REPLACE (CASE WHEN key <> 'N' THEN part END AS part) FROM canonical WHERE key <> 'N'
+    UNION ALL BY NAME SELECT * REPLACE (NULL AS part) FROM canonical WHERE key = 'N')"""
 )
 def daily_files_gzip(spark: SparkSession, d: str) -> DataFrame:
-    """Gzipped CSV; the part is dropped for the key that has one file."""
+    """Gzipped CSV; the part is dropped for the key whose parts are in one file."""
     path = new_folder(spark, "gzip")
-    rows = _as_raw(spark, d).where((F.col("key") != "N") | (F.col("part") == "F")).drop("ERA5_snow_cover")
-    one_file = rows.repartition("key", "part")
+    rows = _as_raw(spark, d).drop("ERA5_snow_cover")
+    one_file = rows.withColumn("part", F.when(F.col("key") == "N", "all").otherwise(F.col("part"))).repartition("key", "part")
     one_file.write.partitionBy("key", "part").option("header", True).option("compression", "gzip").csv(path)
     read = daily.read_gzipped(spark, path, r"key=([^/]+)/(part=[^/]+)/", _RAW_COLUMNS)
     part = F.regexp_replace("part", "part=", "")
-    return read.select("key", part.alias("part"), "date", "DAYMET_tmax", F.col(PRESENT).alias("present"))
+    return read.select("key", part.alias("part"), "date", *_RAW_COLUMNS[:3], F.col(PRESENT).alias("present"))
 
 
 @query(
@@ -209,12 +306,13 @@ def summary_files(spark: SparkSession, d: str) -> DataFrame:
 
 @query(
     f"""WITH {SQL_ANNUAL}, {sql_trends('annual_long', 'year', 5)}
-SELECT key, 'Flag ' || key AS unit_name, CAST(min(year) AS INTEGER) AS start_year, CAST(count(*) AS INTEGER) AS n_stripes,
-  any_value((SELECT round(slope_per_year, 6) FROM trends t WHERE t.key = a.key AND t.variable = 'tmean_c')) AS tmean_slope,
-  true AS no_snow FROM annual a GROUP BY key"""
+SELECT k.key, 'Flag ' || k.key AS unit_name, CAST(min(year) AS INTEGER) AS start_year,
+  CASE WHEN count(year) > 0 THEN CAST(count(year) AS INTEGER) END AS n_stripes,
+  any_value((SELECT round(slope_per_year, 6) FROM trends t WHERE t.key = k.key AND t.variable = 'tmean_c')) AS tmean_slope,
+  true AS no_snow FROM (SELECT DISTINCT l_returnflag AS key FROM lineitem) k LEFT JOIN annual a ON a.key = k.key GROUP BY k.key"""
 )
 def index_file(spark: SparkSession, d: str) -> DataFrame:
-    """The index written as lines, and facts read from its text. Keys without years are left out."""
+    """The index written as lines, and facts read from its text; a key without years has no stripes."""
     docs = summary_documents(flag_tables(spark, d), flag_registry(spark, d))
     path = new_folder(spark, "index")
     sinks.write_index(docs, path, INDEX_FIELDS)
@@ -227,10 +325,10 @@ def index_file(spark: SparkSession, d: str) -> DataFrame:
         "j.key",
         "j.unit_name",
         "j.period.start_year",
-        F.size("j.stripes").alias("n_stripes"),
+        F.when(F.size("j.stripes") > 0, F.size("j.stripes")).alias("n_stripes"),
         F.round(F.col("j.headline_trends")["tmean_c"].slope_per_year, 6).alias("tmean_slope"),
         F.col("j.headline_trends")["snowfall_mm"].isNull().alias("no_snow"),
-    ).where("start_year IS NOT NULL")
+    )
 
 
 @query(

@@ -6,8 +6,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.geometry import geojson_polygons
+from tidemark.session import materialise
 
 _PROPERTIES = (
     "struct<slug:string, unit_name:string, state:string, area_km2:double, source:string, "
@@ -29,6 +31,14 @@ def parse_boundaries(texts: DataFrame, text: str = "value", keep: Sequence[str]
     return doc.where(F.col("d.type").isNotNull()).select(*keep, features.alias("features"))
 
 
+def rejected_boundaries(texts: DataFrame, text: str = "value", keep: Sequence[str] = ("key",)) -> DataFrame:
+    """``*keep, line, reason`` of the texts that ``parse_boundaries`` leaves out."""
+    doc = texts.select(*keep, F.col(text).alias("line"), F.from_json(text, BOUNDARY_SCHEMA).alias("d"))
+    kind = F.get_json_object("line", "$")
+    reason = F.when(kind.isNull(), "not JSON").when(F.col("d.type").isNull(), "without a type")
+    return doc.where(F.col("d.type").isNull()).select(*keep, "line", reason.alias("reason"))
+
+
 def read_boundaries(spark: SparkSession, path: str) -> DataFrame:
     """GeoJSON files as ``key, features``; the key is the file name. A file is one row."""
     texts = spark.read.text(path, wholetext=True, pathGlobFilter="*.geojson")
@@ -55,6 +65,19 @@ def read_layer(
     return spark.read.parquet(path).where(F.col("Mang_Name") == manager).select(*columns)
 
 
+def read_summaries_checked(spark: SparkSession, path: str, schema, whole_files: bool = False) -> tuple[DataFrame, DataFrame]:
+    """The documents that could be read, and ``path, line, reason`` of the others; one pass over the files.
+
+    What has been read is stored, since both results are taken from it.
+    """
+    line = "_line"
+    reader = spark.read.schema(T.StructType([*schema.fields, T.StructField(line, T.StringType())]))
+    read = reader.option("columnNameOfCorruptRecord", line).json(path, multiLine=whole_files)
+    read = materialise(read.select("*", F.col("_metadata.file_path").alias("_path")), "documents")
+    rejects = read.where(F.col(line).isNotNull()).select(F.col("_path").alias("path"), F.col(line).alias("line"), F.lit("not a document of this schema").alias("reason"))
+    return read.where(F.col(line).isNull()).drop(line, "_path"), rejects
+
+
 def read_summaries(spark: SparkSession, path: str, schema, whole_files: bool = False) -> DataFrame:
     """Summary documents as nested rows: one per line, as the writers write them.
 
