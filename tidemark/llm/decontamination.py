@@ -56,9 +56,12 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-def words_in(data: np.ndarray, breaks: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Lowered bytes, and starts, ends and hashes of the words; none runs across one of ``breaks``."""
-    low = _BYTES[data]
+def words_in(data: np.ndarray, breaks: np.ndarray, table: np.ndarray = _BYTES) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Bytes by ``table``, and starts, ends and hashes of the words; none runs across one of ``breaks``.
+
+    ``table`` says what each byte counts as, zero for what parts words.
+    """
+    low = table[data]
     inside = low != 0
     first, last = inside.copy(), inside.copy()
     first[1:] &= ~inside[:-1]

@@ -32,7 +32,7 @@ TIERS = (256, 512, 1024, 2048, 4096)
 POOL = 1 << 21
 STEP = 1 << 16
 #: texts that are encoded at a time, in characters
-CHARS = 1 << 20
+CHARS = 1 << 22
 
 SCHEMA = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, "
@@ -163,11 +163,11 @@ def pack(
                 counts["sequence"] += 1
             counts["group"] += max(groups, default=-1) + 1
             frame = pd.DataFrame(out, columns=[c.split()[0] for c in SCHEMA.split(", ")])
-            return frame.astype({"doc_id": "Int64"})
+            return frame
 
         done: list[tuple[int, list]] = []
         for b in batches:
-            ids, texts = b["doc_id"].astype("Int64").to_list(), [t or "" for t in b["text"]]
+            ids, texts = b["doc_id"].to_list(), [t or "" for t in b["text"]]
             at = 0
             while at < len(texts):
                 to, chars = at, 0
@@ -176,7 +176,7 @@ def pack(
                     to += 1
                 for doc_id, encoded in zip(ids[at:to], encoder.encode(texts[at:to])):
                     encoded += closing
-                    done.extend(packer.add((None if doc_id is pd.NA else doc_id, encoded), len(encoded) // 4))
+                    done.extend(packer.add((doc_id, encoded), len(encoded) // 4))
                 at = to
             if sum(t for t, _ in done) >= pool:
                 yield rows(done)
@@ -185,4 +185,6 @@ def pack(
         if done:
             yield rows(done)
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInPandas(run, SCHEMA)
+    # ids travel as text: in pandas numbers beside a null are floats
+    packed = docs.select(F.col("doc_id").cast("long").cast("string"), "text").mapInPandas(run, SCHEMA.replace("doc_id long", "doc_id string"))
+    return packed.withColumn("doc_id", F.col("doc_id").cast("long"))

@@ -13,9 +13,10 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
 from tidemark.llm.memo import PieceCounts, open_tokenizer
@@ -31,7 +32,7 @@ SPOILT_CHARS = 64
 #: words that must agree behind a place before it is trusted
 AGREEING = 8
 #: texts that are encoded at a time, in characters
-CHARS = 1 << 20
+CHARS = 1 << 22
 
 _workers: dict[str, PieceCounts] = {}
 
@@ -114,15 +115,15 @@ def count_tokens(
     ``text``; columns with the names of results are replaced, all others stay. A null or empty
     text has no bytes and no tokens. Rows are counted one by one, so repeated rows repeat.
     """
-    new = "n_bytes long, n_tokens long"
     kept = [c for c in docs.columns if c not in ("n_bytes", "n_tokens", "over_limit")]
     docs = docs.select(*[f"`{c}`" for c in kept])
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
+    schema = T.StructType([*docs.schema.fields, T.StructField("n_bytes", T.LongType()), T.StructField("n_tokens", T.LongType())])
+    at = kept.index("text")
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = _counter(vocabulary)
         for b in batches:
-            texts = [t or "" for t in b["text"]]
+            texts = [t or "" for t in b.column(at).to_pylist()]
             counts, some, chars = [0] * len(texts), [], 0
             for i, t in enumerate(texts):
                 if len(t) > chunk:
@@ -136,6 +137,7 @@ def count_tokens(
                     some, chars = [], 0
             for k, n in zip(some, counter.count([texts[k] for k in some])):
                 counts[k] = n
-            yield b.assign(n_bytes=[len(t.encode()) for t in texts], n_tokens=counts)
+            new = [pa.array([len(t.encode()) for t in texts], pa.int64()), pa.array(counts, pa.int64())]
+            yield pa.RecordBatch.from_arrays([*b.columns, *new], [*b.schema.names, "n_bytes", "n_tokens"])
 
-    return docs.mapInPandas(run, f"{fields}, {new}").withColumn("over_limit", F.col("n_tokens") > limit)
+    return docs.mapInArrow(run, schema).withColumn("over_limit", F.col("n_tokens") > limit)
