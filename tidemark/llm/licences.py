@@ -19,6 +19,7 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 #: Fixed texts of public license notices, as they are commonly written.
 TEMPLATES = {
@@ -220,7 +221,9 @@ def scan_licenses(
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         scanner = Scanner(given, coverage, density)
         for b in batches:
-            rows = [(i, *found) for i, t in zip(b["doc_id"].astype("Int64"), b["text"]) if t for found in scanner.scan(t)]
-            yield pd.DataFrame(rows, columns=[c.split()[0] for c in SCHEMA.split(", ")]).astype({"doc_id": "Int64"})
+            rows = [(i, *found) for i, t in zip(b["doc_id"], b["text"]) if t for found in scanner.scan(t)]
+            yield pd.DataFrame(rows, columns=[c.split()[0] for c in SCHEMA.split(", ")])
 
-    return docs.selectExpr("CAST(doc_id AS long) AS doc_id", "text").mapInPandas(run, SCHEMA)
+    # ids travel as text: in pandas numbers beside a null are floats
+    found = docs.select(F.col("doc_id").cast("long").cast("string"), "text").mapInPandas(run, SCHEMA.replace("doc_id long", "doc_id string"))
+    return found.withColumn("doc_id", F.col("doc_id").cast("long"))

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import materialise
+from tidemark.llm.common import materialise, temporary
 from tidemark.llm.components import components
 
 SHINGLE = 4
@@ -60,15 +60,20 @@ def fingerprint(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> i
     return int(np.packbits(2 * ones > len(hashes), bitorder="little").view(np.uint64)[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """``doc_id`` and ``bits``, the fingerprint as a signed long, of every row."""
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, carry: str | None = None) -> DataFrame:
+    """``doc_id`` and ``bits``, the fingerprint as a signed long, of every row; ``carry`` names a long that goes along."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             bits = np.array([fingerprint(t, shingle) for t in b["text"]], np.uint64)
-            yield pd.DataFrame({"doc_id": b["doc_id"], "bits": bits.view(np.int64)})
+            out = pd.DataFrame({"doc_id": b["doc_id"], "bits": bits.view(np.int64)})
+            yield out.assign(**{carry: b[carry]}) if carry else out
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInPandas(run, "doc_id long, bits long")
+    # ids travel as text: in pandas numbers beside a null are floats
+    more = [carry] if carry else []
+    schema = "doc_id string, bits long" + "".join([f", `{c}` long" for c in more])
+    prints = docs.select(F.col("doc_id").cast("long").cast("string"), "text", *more).mapInPandas(run, schema)
+    return prints.withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
 # ---- comparison --------------------------------------------------------------------
@@ -221,17 +226,20 @@ def link(members: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS, bucket_
     return dealt.mapInPandas(_bucket_links(radius), "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, blocks: int = BLOCKS) -> DataFrame:
+def near_duplicates(
+    docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, blocks: int = BLOCKS, carry: str | None = None
+) -> DataFrame:
     """``doc_id``, ``fingerprint`` (16 hexadecimal digits) and ``component_id`` of every row.
 
     Two documents are linked if their fingerprints differ in at most ``radius`` bits;
     ``component_id`` is the smallest ``doc_id`` that links reach, the document's own included.
-    ``docs`` needs ``doc_id`` and ``text``; other columns are ignored.
+    ``docs`` needs ``doc_id`` and ``text``; other columns are ignored, but for a column of longs without
+    nulls that ``carry`` may name.
 
     A null or empty text has the fingerprint zero and links like any other. A row without a
     ``doc_id`` links with nothing and its ``component_id`` is null. Repeated rows repeat.
     """
-    prints = materialise(fingerprints(docs, shingle), "fingerprints")
+    prints = materialise(fingerprints(docs, shingle, carry), "fingerprints")
     members = materialise(
         prints.where("doc_id IS NOT NULL").groupBy("bits").agg(F.min("doc_id").alias("node")), "fingerprint-members"
     )
@@ -242,14 +250,18 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIU
         "doc_id",
         F.lower(F.lpad(F.hex("bits"), 16, "0")).alias("fingerprint"),
         F.when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"),
+        *([carry] if carry else []),
     )
 
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """Of each group of near-duplicates the document with the smallest id; columns as they came.
 
-    Repeated rows of a document count as one. Rows without a ``doc_id`` all stay.
+    Repeated rows of a document count as one; different texts under one id are documents of their own.
+    Rows without a ``doc_id`` all stay.
     """
-    chosen = near_duplicates(docs, shingle, radius).where("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(chosen, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.where("doc_id IS NULL")).select(*[f"`{c}`" for c in docs.columns])
+    (which,) = temporary("which")
+    marked = docs.withColumn(which, F.xxhash64("text"))
+    chosen = near_duplicates(marked, shingle, radius, carry=which).where("doc_id = component_id").select("doc_id", which).distinct()
+    kept = marked.join(chosen, ["doc_id", which], "left_semi").dropDuplicates(["doc_id", which])
+    return kept.unionByName(marked.where("doc_id IS NULL")).select(*[f"`{c}`" for c in docs.columns])

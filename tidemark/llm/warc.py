@@ -29,7 +29,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import materialise, new_folder
+from tidemark.llm.common import materialise, new_folder, nullable
 
 DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -38,6 +38,8 @@ MIN_REVISIT_BYTES = 0
 #: bytes after which a task begins another archive, and lines of an index block
 ARCHIVE_BYTES = 1 << 30
 BLOCK_LINES = 3000
+#: payload bytes that a task reads back, about
+READ_BYTES = 64 << 20
 LEVEL = 5
 
 ENTRY = (
@@ -95,7 +97,13 @@ def _open(folder: str) -> tuple[pafs.FileSystem, str]:
 
 def _frame(rows: list[tuple], schema: str) -> pd.DataFrame:
     fields = [f.split() for f in schema.split(", ")]
-    return pd.DataFrame(rows, columns=[n for n, _ in fields]).astype({n: "Int64" for n, t in fields if t == "long"})
+    columns = list(zip(*rows)) or [()] * len(fields)
+    return pd.DataFrame({n: nullable(list(c)) if t == "long" else list(c) for (n, t), c in zip(fields, columns)})
+
+
+def _text_ids(df: DataFrame, *ids: str) -> DataFrame:
+    """Ids as text, for the way to pandas: beside a null numbers would come out as floats."""
+    return df.withColumns({i: F.col(i).cast("string") for i in ids})
 
 
 def write_archives(pages: DataFrame, folder: str, min_revisit_bytes: int = MIN_REVISIT_BYTES) -> DataFrame:
@@ -123,7 +131,7 @@ def write_archives(pages: DataFrame, folder: str, min_revisit_bytes: int = MIN_R
                             out.close()
                         name, at = f"{uuid.uuid4().hex}.warc.gz", 0
                         out = fs.open_output_stream(f"{root}/{name}", compression=None)
-                    page_id, first = (None if pd.isna(x) else int(x) for x in (page_id, first))
+                    page_id, first = (None if x is None else int(x) for x in (page_id, first))
                     again = page_id is not None and size >= min_revisit_bytes and first is not None and first != page_id
                     kind, refers = ("revisit", first) if again else ("response", None)
                     digest = digest_of((html or "").encode())
@@ -138,16 +146,17 @@ def write_archives(pages: DataFrame, folder: str, min_revisit_bytes: int = MIN_R
 
     fs, root = _open(folder)
     fs.create_dir(root, recursive=True)
-    return materialise(rows.mapInPandas(run, ENTRY), "captures")
+    return materialise(_text_ids(rows, "page_id", "first").mapInPandas(run, ENTRY), "captures")
 
 
 def _order(key: str, page_id: int | None) -> tuple[str, int]:
-    return key, -(1 << 63) - 1 if page_id is None or pd.isna(page_id) else int(page_id)
+    return key, -(1 << 63) - 1 if page_id is None else page_id
 
 
 def write_index(entries: DataFrame, folder: str, block_lines: int = BLOCK_LINES) -> str:
     """Write sorted, compressed blocks of ``entries`` below ``folder``; return the path of the directory table."""
     columns = [f.split()[0] for f in ENTRY.split(", ")]
+    longs = {f.split()[0] for f in ENTRY.split(", ") if f.endswith(" long")}
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         fs, root = _open(folder)
@@ -164,8 +173,8 @@ def write_index(entries: DataFrame, folder: str, block_lines: int = BLOCK_LINES)
 
         try:
             for b in batches:
-                held += [[None if x is pd.NA or x is None or x != x else x for x in r] for r in b[columns].astype(object).itertuples(index=False)]
-                held = [[int(x) if isinstance(x, float) else x for x in r] for r in held]
+                for r in b[columns].itertuples(index=False):
+                    held.append([None if x is None else int(x) if n in longs else x for n, x in zip(columns, r)])
                 done = []
                 while len(held) >= block_lines:
                     done.append(block(held[:block_lines]))
@@ -182,7 +191,7 @@ def write_index(entries: DataFrame, folder: str, block_lines: int = BLOCK_LINES)
     fs.create_dir(root, recursive=True)
     ordered = entries.repartitionByRange("key", "page_id").sortWithinPartitions("key", "page_id")
     path = new_folder(entries.sparkSession, "directory")
-    ordered.mapInPandas(run, BLOCK).write.parquet(path)
+    _text_ids(ordered, *longs).mapInPandas(run, BLOCK).write.parquet(path)
     return path
 
 
@@ -238,14 +247,16 @@ class Index:
         return parse_record(zlib.decompress(packed, wbits=31))
 
 
-def look_up(wanted: DataFrame, folder: str, directory: str, archives: str) -> DataFrame:
-    """The records of each distinct (``url``, ``page_id``), read from the archives through the index.
+def look_up(wanted: DataFrame, folder: str, directory: str, archives: str, tasks: int) -> DataFrame:
+    """The records of each distinct (``url``, ``page_id``), read from the archives through the index by so many tasks.
+
+    Keys are small, so their own size says nothing of the work behind them.
 
     A response's digest is computed from its payload and must be the one it states.
     """
     as_key = F.pandas_udf(lambda urls: urls.map(capture_key, na_action=None), "string")
     keys = wanted.select(as_key("url").alias("key"), F.col("page_id").cast("long")).distinct()
-    keys = keys.repartitionByRange("key", "page_id").sortWithinPartitions("key", "page_id")
+    keys = keys.repartitionByRange(tasks, "key", "page_id").sortWithinPartitions("key", "page_id")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         index = None
@@ -254,7 +265,7 @@ def look_up(wanted: DataFrame, folder: str, directory: str, archives: str) -> Da
             index.between(b["key"].iloc[0], b["key"].iloc[-1])
             rows = []
             for key, page_id in b.itertuples(index=False):
-                for entry in index.find(key, page_id):
+                for entry in index.find(key, None if page_id is None else int(page_id)):
                     head, http, payload = index.record(entry)
                     digest, size = head["WARC-Payload-Digest"].removeprefix("sha1:"), int(http["Content-Length"])
                     if head["WARC-Type"] == "response" and (digest_of(payload), len(payload)) != (digest, size):
@@ -263,7 +274,7 @@ def look_up(wanted: DataFrame, folder: str, directory: str, archives: str) -> Da
                     rows.append((int(own) if own else None, size, digest, head["WARC-Type"], int(refers) if refers else None))
             yield _frame(rows, RECORD)
 
-    return keys.mapInPandas(run, RECORD)
+    return _text_ids(keys, "page_id").mapInPandas(run, RECORD)
 
 
 def archive_and_read(pages: DataFrame, min_revisit_bytes: int = MIN_REVISIT_BYTES, block_lines: int = BLOCK_LINES) -> DataFrame:
@@ -278,4 +289,6 @@ def archive_and_read(pages: DataFrame, min_revisit_bytes: int = MIN_REVISIT_BYTE
     archives, folder = (new_folder(pages.sparkSession, n) for n in ("archives", "index"))
     entries = write_archives(pages, archives, min_revisit_bytes)
     directory = write_index(entries, folder, block_lines)
-    return look_up(pages, folder, directory, archives)
+    n_bytes = entries.agg(F.coalesce(F.sum("payload_bytes"), F.lit(0)).alias("n")).first()["n"]
+    tasks = max(int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-n_bytes // READ_BYTES))
+    return look_up(pages, folder, directory, archives, tasks)

@@ -390,6 +390,8 @@ def extract(pages: DataFrame, least: int = FURNITURE_PAGES) -> DataFrame:
             texts = [main_text(p, frozenset(k) if k is not None else frozenset()) for p, k in zip(b["html"], b["known"])]
             yield b[["page_id", "url"]].assign(text=texts, n_chars=[len(t) for t in texts])
 
-    id_type = pages.schema["page_id"].dataType.simpleString()
-    joined = pages.withColumn("host", host("url")).join(known, "host", "left").select("page_id", "url", "html", "known")
-    return joined.mapInPandas(read, f"page_id {id_type}, url string, text string, n_chars long")
+    # ids travel as text: in pandas numbers beside a null are floats
+    id_type = pages.schema["page_id"].dataType
+    joined = pages.withColumn("host", host("url")).join(known, "host", "left").select(F.col("page_id").cast("string"), "url", "html", "known")
+    texts = joined.mapInPandas(read, "page_id string, url string, text string, n_chars long")
+    return texts.withColumn("page_id", F.col("page_id").cast(id_type))
