@@ -6,18 +6,20 @@ there costs an escape, estimated by half the number of different bytes seen in t
 shorter one with the bytes of the longer one excluded. The code
 length of a document, as a base-10 logarithm, is its score.
 
-A byte that was seen in a context too seldom to be kept counts for the escape there, so pruning
-leaves the estimate of escapes right. Counting covers all training documents and is spread over tasks, which send their distinct
-grams only. The trie keeps what is at least a set share of all bytes, so each order has at most
-the inverse of that share as entries, however large the corpus: that bound makes it fit to be
-sent to all tasks. Unigram figures of words are kept beside it; frequent words travel by the
-same bound, all others are looked up by a join.
+Counting covers all training documents and is spread over tasks, which send their distinct
+grams only. Every gram is kept, and the trie is as large as the corpus makes it. A trie of up to
+``PART`` grams goes to all tasks at once. A larger one goes in parts by the last two bytes of the
+context, which all shorter contexts share but the two shortest, that go with every part: the
+documents are read once for each part, each byte is scored where its context is, and the sums
+are added. Unigram figures of words are kept beside it; frequent words go to all tasks (there
+are at most a set number), all others are looked up by a join.
 """
 
 from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -27,9 +29,11 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import materialise
 
 #: bytes of the longest context, at most 6
-ORDER = 5
-#: a gram stays in the trie if it is this share of all training bytes, a word is frequent if it is this share of tokens
-MIN_SHARE = 1e-6
+ORDER = 4
+#: grams that are sent to all tasks at once; contexts with the same last two bytes stay together, with order 4 at most 2^24 grams
+PART = 1 << 21
+#: a word is frequent if it is this share of all tokens; others are joined
+FREQUENT = 1e-6
 MODULUS, HELD_OUT = 7, 2
 #: ends a text and stands before it; no UTF-8 has it
 END = 0xFF
@@ -117,33 +121,37 @@ def _count_partition(order: int):
     return run
 
 
-def train(docs: DataFrame, order: int = ORDER, min_share: float = MIN_SHARE) -> dict:
-    """Count ``text`` of all rows: tables ``words`` (word, n), ``trie`` (level, gram, n, all), totals and the share used.
-
-    ``all`` is how often the gram's context was seen before any byte, kept or not.
-    """
+def train(docs: DataFrame, order: int = ORDER) -> dict:
+    """Count ``text`` of all rows: tables ``words`` (word, n) and ``trie`` (level, gram, n), and totals."""
     if not 1 <= order <= 6:
         raise ValueError("the longest context has one to six bytes")
     counted = materialise(docs.select("text").mapInPandas(_count_partition(order), "word binary, gram long, n long"), "counts")
     words = counted.where("word IS NOT NULL").groupBy("word").agg(F.sum("n").alias("n"))
     words = materialise(words, "words")
     totals = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("tokens"), F.count("*").alias("types")).first()
-    grams = counted.where("gram IS NOT NULL").groupBy("gram").agg(F.sum("n").alias("n"))
-    grams = materialise(grams, "grams")
-    n_bytes = grams.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
-    levels = []
-    for level in range(order, -1, -1):
-        if level < order:
-            grams = grams.groupBy(F.col("gram").bitwiseAND(F.lit((1 << 8 * (level + 1)) - 1)).alias("gram")).agg(F.sum("n").alias("n"))
-        context = F.shiftright("gram", 8)
-        kept = grams.where(F.col("n") >= min_share * n_bytes).withColumn("context", context)
-        ever = grams.groupBy(context.alias("context")).agg(F.sum("n").alias("all"), F.max("n").alias("most"))
-        ever = ever.where(F.col("most") >= min_share * n_bytes).drop("most")
-        levels.append(kept.join(ever, "context").select(F.lit(level).alias("level"), "gram", "n", "all"))
-    trie = levels[0]
-    for x in levels[1:]:
-        trie = trie.unionByName(x)
-    return {"words": words, "trie": materialise(trie, "trie"), "order": order, "share": min_share, **totals.asDict()}
+    grams = materialise(counted.where("gram IS NOT NULL").groupBy("gram").agg(F.sum("n").alias("n")), "grams")
+    levels = [grams.select(F.lit(order).alias("level"), "gram", "n")]
+    for level in range(order - 1, -1, -1):
+        shorter = F.col("gram").bitwiseAND(F.lit((1 << 8 * (level + 1)) - 1)).alias("gram")
+        grams = grams.groupBy(shorter).agg(F.sum("n").alias("n"))
+        levels.append(grams.select(F.lit(level).alias("level"), "gram", "n"))
+    return {"words": words, "trie": materialise(reduce(DataFrame.unionByName, levels), "trie"), "order": order, **totals.asDict()}
+
+
+def parts(trie: DataFrame, most: int = PART) -> list[tuple[DataFrame, np.ndarray | None]]:
+    """The trie in parts of about ``most`` grams, each with the ends of contexts (two bytes) it serves; None for all."""
+    if trie.count() <= most:
+        return [(trie, None)]
+    end = F.shiftright("gram", 8).bitwiseAND(F.lit(0xFFFF))
+    sizes = trie.where("level >= 2").groupBy(end.cast("int").alias("end")).count().orderBy("end").collect()  # 65,536 at most
+    firsts, filled = [0], 0
+    for r in sizes:
+        if filled and filled + r["count"] > most:
+            firsts.append(r["end"])
+            filled = 0
+        filled += r["count"]
+    stretches = zip(firsts, [*firsts[1:], 1 << 16])
+    return [(trie.where((F.col("level") < 2) | end.between(low, high - 1)), np.arange(low, high)) for low, high in stretches]
 
 
 # ---- the trie as tables -------------------------------------------------------------
@@ -185,35 +193,33 @@ class Table:
 class Model:
     """Logarithms for every gram and context of the trie."""
 
-    def __init__(self, order: int, level: np.ndarray, gram: np.ndarray, n: np.ndarray, all_: np.ndarray):
+    def __init__(self, order: int, level: np.ndarray, gram: np.ndarray, n: np.ndarray):
         self.order = order
         self.levels = []
         below = None
         for j in range(order + 1):
             at = level == j
-            keys, counts, ever = gram[at].astype(np.uint64), n[at].astype(np.float64), all_[at].astype(np.float64)
+            keys, counts = gram[at].astype(np.uint64), n[at].astype(np.float64)
             sort = np.argsort(keys)
-            keys, counts, ever = keys[sort], counts[sort], ever[sort]
+            keys, counts = keys[sort], counts[sort]
             if not len(keys):
                 break
             context = keys >> np.uint64(8)
             first = np.flatnonzero(np.r_[True, context[1:] != context[:-1]])
             kinds = np.diff(np.r_[first, len(keys)]).astype(np.float64)
             total = np.add.reduceat(counts, first)
-            lost = ever[first] - total  # bytes that were seen here but are not kept: they are coded by an escape, too
             own = np.repeat(np.arange(len(first)), kinds.astype(np.int64))
-            mass = total + lost
             new = {
                 "grams": Table(keys), "contexts": Table(context[first]), "log": np.log10(counts - 0.5),
-                "plain": np.log10((counts - 0.5) / mass[own]), "escape": np.log10((kinds / 2 + lost) / mass),
-                "counts": counts, "total": total, "kinds": kinds, "lost": lost,
+                "plain": np.log10((counts - 0.5) / total[own]), "escape": np.log10(kinds / 2 / total),
+                "counts": counts, "total": total, "kinds": kinds,
             }
             if below is not None:
                 # the next shorter context without the bytes that were seen here
                 low = below["contexts"].find(context[first] & np.uint64((1 << 8 * (j - 1)) - 1))
                 seen = below["counts"][below["grams"].find(keys & np.uint64((1 << 8 * j) - 1))]
-                fresh = (below["kinds"][low] - kinds) / 2 + below["lost"][low]
-                mass = np.maximum(below["total"][low] - np.add.reduceat(seen, first) + below["lost"][low], 1e-300)
+                fresh = (below["kinds"][low] - kinds) / 2
+                mass = np.maximum(below["total"][low] - np.add.reduceat(seen, first), 1e-300)
                 new["excluded"], new["again"] = np.log10(mass), np.where(fresh > 0, np.log10(np.maximum(fresh, 1e-300) / mass), 0.0)
             self.levels.append(new)
             below = new
@@ -250,7 +256,7 @@ class Model:
 # ---- scores ------------------------------------------------------------------------
 
 
-def score(docs: DataFrame, model: dict, held_out: str | None = None) -> DataFrame:
+def score(docs: DataFrame, model: dict, held_out: str | None = None, most: int = PART) -> DataFrame:
     """``doc_id``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score`` and ``score`` of every row.
 
     ``base_score`` sums log10((c + 1) / (N + V + 1)) over the words and the end, with c the
@@ -262,54 +268,73 @@ def score(docs: DataFrame, model: dict, held_out: str | None = None) -> DataFram
     a null ``doc_id`` stays null. Without any training text all bytes are equally likely.
     """
     spark = docs.sparkSession
-    n, v, share, order = model["tokens"], model["types"], model["share"], model["order"]
-    often = model["words"].where((F.col("n") >= share * max(n, 1)) | (F.col("word") == F.lit(bytearray(b"\xff"))))
-    # At most 1 / share words and as many grams for each length.
+    n, v, order = model["tokens"], model["types"], model["order"]
+    often = model["words"].where((F.col("n") >= FREQUENT * max(n, 1)) | (F.col("word") == F.lit(bytearray(b"\xff"))))
     log_all = float(np.log10(n + v + 1))
-    common = {bytes(r["word"]): float(np.log10(r["n"] + 1)) - log_all for r in often.toLocalIterator()}
-    trie = model["trie"].toPandas()
-    sent = spark.sparkContext.broadcast((common, order, *(trie[c].to_numpy() for c in ("level", "gram", "n", "all"))))
-    built: dict[int, tuple[dict, Model]] = {}
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        if not built:
-            words, *rest = sent.value
-            built[0] = words, Model(*rest)
-        common, trie = built[0]
-        end = common.get(b"\xff", -log_all)
-
-        def scored(b: pd.DataFrame) -> pd.DataFrame:
-            texts, n_tokens, known, base, rare = [], [], [], [], []
-            for t in b["text"]:
-                ws = words_of(t)
-                texts.append(b" ".join(ws))
-                values = [common[w] for w in ws if w in common]
-                seldom = Counter([w for w in ws if w not in common]) if len(values) < len(ws) else {}
-                n_tokens.append(len(ws) + 1)
-                known.append(len(values) + (b"\xff" in common))
-                base.append(sum(values) + end)
-                rare.append([{"word": w, "times": k} for w, k in seldom.items()])
-            scores: list[float] = []
-            for some in _blocks(texts):
-                c, starts = codes(some, order)
-                each = np.zeros(len(c))
-                real = np.flatnonzero(c != np.uint64(2**64 - 1))
-                each[real] = trie.score(c[real])
-                scores.extend(np.add.reduceat(each, starts).tolist())
-            return b.drop(columns="text").assign(n_tokens=n_tokens, known=known, base=base, score=scores, rare=rare)
+    # at most 1 / FREQUENT words
+    common = spark.sparkContext.broadcast({bytes(r["word"]): float(np.log10(r["n"] + 1)) - log_all for r in often.toLocalIterator()})
+
+    def of_words(texts: list[list[bytes]]) -> dict[str, list]:
+        values_of = common.value
+        end = values_of.get(b"\xff", -log_all)
+        out: dict[str, list] = {"n_tokens": [], "known": [], "base": [], "rare": []}
+        for ws in texts:
+            values = [values_of[w] for w in ws if w in values_of]
+            seldom = Counter([w for w in ws if w not in values_of]) if len(values) < len(ws) else {}
+            out["n_tokens"].append(len(ws) + 1)
+            out["known"].append(len(values) + (b"\xff" in values_of))
+            out["base"].append(sum(values) + end)
+            out["rare"].append([{"word": w, "times": k} for w, k in seldom.items()])
+        return out
 
-        for b in batches:
-            # a few texts at a time: what is held grows with these, not with the batch
-            sizes = np.array([len(t or "") for t in b["text"]], np.int64)
-            for _, part in b.groupby(np.cumsum(sizes) // BLOCK, sort=True):
-                yield scored(part)
+    def scored_by(part: DataFrame, ends: np.ndarray | None, carried: list[str], with_words: bool):
+        grams = part.toArrow()  # a part: PART grams, or those of one end
+        sent = spark.sparkContext.broadcast((order, *(grams[c].to_numpy() for c in ("level", "gram", "n"))))
+        built: list[Model] = []
+
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            if not built:
+                built.append(Model(*sent.value))
+            mine = None
+            if ends is not None:
+                mine = np.zeros(1 << 16, bool)
+                mine[ends] = True
+            for b in batches:
+                # a few texts at a time: what is held grows with these, not with the batch
+                sizes = np.array([len(t or "") for t in b["text"]], np.int64)
+                for _, some in b.groupby(np.cumsum(sizes) // BLOCK, sort=True):
+                    texts = [words_of(t) for t in some["text"]]
+                    scores: list[float] = []
+                    for block in _blocks([b" ".join(ws) for ws in texts]):
+                        c, starts = codes(block, order)
+                        each = np.zeros(len(c))
+                        real = c != np.uint64(2**64 - 1)
+                        if mine is not None:
+                            real &= mine[(c >> np.uint64(8) & np.uint64(0xFFFF)).astype(np.int64)]
+                        real = np.flatnonzero(real)
+                        each[real] = built[0].score(c[real])
+                        scores.extend(np.add.reduceat(each, starts).tolist())
+                    out = some[carried].assign(score=scores)
+                    yield out.assign(**of_words(texts)) if with_words else out
+
+        return run
 
     carried = ["doc_id"] + ([held_out] if held_out else [])
-    fields = "doc_id long" + (f", {held_out} boolean" if held_out else "")
-    rows = docs.select(F.col("doc_id").cast("long"), *([held_out] if held_out else []), "text").mapInPandas(
-        run, f"{fields}, n_tokens long, known long, base double, score double, rare array<struct<word: binary, times: int>>"
-    )
-    rows = materialise(rows.withColumn("row", F.monotonically_increasing_id()), "scores")
+    # ids travel as text: in pandas numbers beside a null are floats
+    fields = "doc_id string" + (f", {held_out} boolean" if held_out else "")
+    of_text = "score double, n_tokens long, known long, base double, rare array<struct<word: binary, times: int>>"
+    texts = docs.select(F.col("doc_id").cast("long").cast("string"), *([held_out] if held_out else []), "text")
+    served = parts(model["trie"], most)
+    if len(served) > 1:
+        texts = materialise(texts.withColumn("row", F.monotonically_increasing_id()), "texts")
+        rows = texts.mapInPandas(scored_by(*served[0], [*carried, "row"], True), f"{fields}, row long, {of_text}")
+    else:
+        rows = texts.mapInPandas(scored_by(*served[0], carried, True), f"{fields}, {of_text}").withColumn("row", F.monotonically_increasing_id())
+    rows = materialise(rows.withColumn("doc_id", F.col("doc_id").cast("long")), "scores")
+    if len(served) > 1:
+        more = [materialise(texts.mapInPandas(scored_by(p, ends, ["row"], False), "row long, score double"), "part-scores") for p, ends in served[1:]]
+        more = reduce(DataFrame.unionByName, more).groupBy("row").agg(F.sum("score").alias("further"))
+        rows = rows.join(more, "row").withColumn("score", F.col("score") + F.col("further")).drop("further")
     seldom = rows.select("row", F.inline("rare")).join(model["words"], "word", "left")
     seldom = seldom.groupBy("row").agg(
         F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).cast("long").alias("more"),
@@ -326,8 +351,8 @@ def score(docs: DataFrame, model: dict, held_out: str | None = None) -> DataFram
     )
 
 
-def score_held_out(docs: DataFrame, order: int = ORDER, min_share: float = MIN_SHARE) -> DataFrame:
+def score_held_out(docs: DataFrame, order: int = ORDER, most: int = PART) -> DataFrame:
     """Scores of all ``docs`` by a model of those whose CRC-32 of the id as text is not 2 modulo 7."""
     fold = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % MODULUS
     docs = docs.select("doc_id", "text", (fold == HELD_OUT).alias("held_out"))
-    return score(docs, train(docs.where(~F.col("held_out")), order, min_share), "held_out")
+    return score(docs, train(docs.where(~F.col("held_out")), order), "held_out", most)
