@@ -66,3 +66,19 @@ def test_odd_rows(spark):
     assert mixing.mix(df, known.limit(0), {"only": 2}).count() == 5
     with pytest.raises(ValueError):
         mixing.mix(df, known, {})
+
+
+@pytest.mark.parametrize("sf", ["sf0.1"])
+def test_domains_of_documents_that_were_not_fitted(spark, sf):
+    """Held-out accuracy on the whole given table, by domain."""
+    folder = f"/root/testdata/{sf}"
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
+    labels = mixing.domains_of(spark.read.parquet(f"{folder}/labels.parquet")).where("domain IS NOT NULL")
+    held = labels.where("pmod(xxhash64('test', doc_id), 4) = 0")
+    got = mixing.mix(docs, labels.join(held, "doc_id", "left_anti"), {"clean": 0.85, "low": 0.12, "toxic": 0.03}, carry=["doc_id"])
+    rows = got.join(held, "doc_id").toPandas()
+    best = rows[["p_clean", "p_low", "p_toxic"]].astype(float).idxmax(axis=1).str[2:]
+    right = (best == rows["domain"]).groupby(rows["domain"]).mean()
+    print(right.to_dict(), (best == rows["domain"]).mean(), rows["domain"].value_counts().to_dict())
+    assert (best == rows["domain"]).mean() > 0.92
+    assert right["clean"] > 0.95 and right["low"] > 0.85 and right["toxic"] > 0.7

@@ -13,20 +13,21 @@ Everything is built-in functions. No document is moved: there is no shuffle but
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import SPACE, materialise, words_of
+from tidemark.llm.common import materialise, temporary, words_of
 
 #: labelled documents the classifier is fitted on at most, taken by a hash of their id
 MAX_LABELLED = 20_000
-#: places that words are hashed to, and how many of them, the most telling, the classifier uses
+#: places that words are hashed to; each has a weight for every domain
 PLACES = 1 << 18
-FEATURES = 256
-#: a place is used only if its counts depart from independence by this chi-square
-MIN_CHI2 = 25.0
 SMOOTHING = 0.5
+#: the softmax regression: steps, their size, the weight of large coefficients, and where features are cut off
+ROUNDS, RATE, RIDGE, CUT = 800, 0.5, 1e-3, 5.0
 STEPS = 40
 #: a fit ends when no domain is further from its target than this share of all tokens, or steps change nothing
 TOLERANCE = 1e-6
@@ -34,81 +35,130 @@ TOLERANCE = 1e-6
 DECIMALS = 6
 
 
-def _places(text: Column) -> Column:
-    """The places of a text's words and of its style, each once."""
-    text = F.coalesce(text, F.lit(""))
-    words = F.split(F.lower(text), r"[^\p{L}]+")
-    dense = F.length(F.regexp_replace(text, SPACE + "+", ""))
-    symbols = F.length(F.regexp_replace(text, r"[^#*$%&|<>!]+", ""))
-    share = F.least(F.lit(9), F.floor(symbols * 20 / F.greatest(dense, F.lit(1)))).cast("int")
-    length = F.floor(F.log2(dense + 1)).cast("int")
-    style = F.array(F.concat(F.lit("#symbols "), share), F.concat(F.lit("#length "), length))
-    return F.array_distinct(
-        F.transform(F.concat(words, style), lambda w: F.pmod(F.xxhash64(w), F.lit(PLACES)).cast("int"))
-    )
+def _places(words: Column) -> Column:
+    """The place of each word, without the punctuation around it, in lower case."""
+    return F.transform(words, lambda w: F.pmod(F.xxhash64(F.lower(F.btrim(w, F.lit(".,;:!?\"()")))), F.lit(PLACES)).cast("int"))
+
+
+def _style(text: Column, words: str) -> list[Column]:
+    """What a text looks like: symbols, capitals, ends of sentences, repeated words and lines, lengths."""
+    n = F.greatest(F.size(words), F.lit(1))
+    dense = F.greatest(F.length(F.array_join(words, "")), F.lit(1))
+    lines = F.filter(F.split(text, "\n"), lambda x: F.trim(x) != "")
+
+    def count(others: str) -> Column:
+        return F.length(F.regexp_replace(text, others, ""))
 
+    return [
+        count(r"[^#*$%&|<>]+") / dense,
+        count(r"[^A-Z]+") / dense,
+        count(r"[^.!?]+") / n,
+        F.size(F.array_distinct(words)) / n,
+        (F.size(lines) - F.size(F.array_distinct(lines))) / F.greatest(F.size(lines), F.lit(1)),
+        F.log1p(F.size(words)),
+        dense / n,
+    ]
 
-def _summed(hits: Column, start: float, weights: list[float]) -> Column:
-    return F.aggregate(hits, F.lit(start), lambda a, i: a + F.get(F.lit(weights), i))
+
+def _entry_of(table: Column) -> Callable[[Column], Column]:
+    return lambda i: F.get(table, i)
 
 
 class Classifier:
-    """Naive Bayes on the presence of places; ``domains``, ``places``, ``weights`` and ``base`` are of bounded size."""
-
-    def __init__(self, domains: list[str], places: list[int], weights: np.ndarray, base: np.ndarray):
-        self.domains, self.places, self.weights, self.base = domains, places, weights, base
-
-    def posteriors(self, places: str) -> list[Column]:
-        """A probability for each domain from the column of a text's places."""
-        if not self.places:
-            scores = [F.lit(float(b)) for b in self.base]
-        else:
-            known = F.lit(self.places)
-            hits = F.transform(F.array_intersect(F.col(places), known), lambda x: F.array_position(known, x).cast("int") - 1)
-            scores = [_summed(hits, float(b), [float(x) for x in w]) for w, b in zip(self.weights, self.base)]
-        if len(scores) == 1:
+    """Naive Bayes weights for every place, and a softmax regression on what they say and on the style.
+
+    The words of a text give each domain two figures, the mean and the largest of their weights. These and the
+    style, each also squared, decide. All tables are of bounded size.
+    """
+
+    def __init__(self, domains: list[str], weights: np.ndarray, centre: np.ndarray, spread: np.ndarray, theta: np.ndarray):
+        self.domains, self.weights, self.centre, self.spread, self.theta = domains, weights, centre, spread, theta
+
+    @staticmethod
+    def features(df: DataFrame, weights: np.ndarray, text: str, names: list[str]) -> DataFrame:
+        """``df`` with a column of figures for each name: ``names`` are one for the words, and one for all figures."""
+        words, figures = names
+        df = df.withColumn(words, words_of(F.col(text)))
+        places, *found = temporary("places", *[f"w{i}" for i in range(len(weights))])
+        df = df.withColumn(places, _places(F.col(words)))
+        # one constant for all places, not an expression each
+        tables = [F.split(F.lit(",".join([f"{x:.4f}" for x in w])), ",").cast("array<double>") for w in weights]
+        df = df.withColumns({c: F.transform(places, _entry_of(t)) for c, t in zip(found, tables)})
+        n = F.greatest(F.size(words), F.lit(1))
+        means = [F.aggregate(c, F.lit(0.0), lambda a, x: a + x) / n for c in found]
+        tops = [F.coalesce(F.array_max(c), F.lit(0.0)) for c in found]
+        all_ = F.array(*_style(F.coalesce(F.col(text), F.lit("")), words), *means, *tops)
+        return df.withColumn(figures, all_).drop(places, *found)
+
+    def posteriors(self, figures: str) -> list[Column]:
+        """A probability for each domain from the column of figures."""
+        if len(self.domains) == 1:
             return [F.lit(1.0)]
+        k = len(self.centre)
+        x = F.transform(
+            F.arrays_zip(F.col(figures).alias("x"), F.lit([float(v) for v in self.centre]).alias("m"), F.lit([float(v) for v in self.spread]).alias("s")),
+            lambda t: F.greatest(F.lit(-CUT), F.least(F.lit(CUT), (t["x"] - t["m"]) / t["s"])),
+        )
+
+        def score(theta: np.ndarray) -> Column:
+            # theta: for one, for each figure, for each of their squares
+            pairs = F.lit([[float(a), float(b)] for a, b in zip(theta[1 : k + 1], theta[k + 1 :])])
+            terms = F.zip_with(x, pairs, lambda v, t: v * (F.get(t, 0) + v * F.get(t, 1)))
+            return F.aggregate(terms, F.lit(float(theta[0])), lambda a, v: a + v)
+
+        scores = [score(t) for t in self.theta.T]
         top = F.greatest(*scores)
         powers = [F.exp(s - top) for s in scores]
         total = sum(powers[1:], powers[0])
         return [p / total for p in powers]
 
 
-def fit_classifier(
-    docs: DataFrame, labels: DataFrame, domains: list[str], max_labelled: int = MAX_LABELLED, features: int = FEATURES
-) -> Classifier:
-    """Fit on at most ``max_labelled`` labelled documents.
+def _softmax(x: np.ndarray, y: np.ndarray, n_domains: int) -> np.ndarray:
+    """Coefficients of a regression of domains (numbers) on rows of figures, by plain gradients."""
+    theta, goal = np.zeros((x.shape[1], n_domains)), np.eye(n_domains)[y]
+    for _ in range(ROUNDS if len(y) else 0):
+        z = x @ theta
+        p = np.exp(z - z.max(axis=1, keepdims=True))
+        p /= p.sum(axis=1, keepdims=True)
+        theta -= RATE * (x.T @ (p - goal) / len(y) + RIDGE * theta)
+    return theta.round(6)
+
+
+def fit_classifier(docs: DataFrame, labels: DataFrame, domains: list[str], max_labelled: int = MAX_LABELLED) -> Classifier:
+    """Fit on at most ``max_labelled`` labelled documents: words on one half, the regression on the other.
 
     ``labels`` has ``doc_id`` and ``domain``; nulls and domains not asked for are ignored, and
-    of several domains of a document the first by name counts. A domain without any labelled
-    document gets the prior of half a document.
+    of several domains of a document the first by name counts.
     """
+    words, figures, half = temporary("words", "figures", "half")
     known = labels.where(F.col("doc_id").isNotNull() & F.col("domain").isin(domains))
     known = known.groupBy("doc_id").agg(F.min("domain").alias("domain"))
     known = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled)
     # At most max_labelled ids and names: small enough to send to all.
     seen = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id")
-    seen = seen.select("domain", _places(F.col("text")).alias("places"))
-    seen = materialise(seen, "labelled")
-    counts = {r["domain"]: r["n"] for r in seen.groupBy("domain").agg(F.count("*").alias("n")).collect()}
-    n_k = np.array([counts.get(d, 0) for d in domains], float)
-    n = max(n_k.sum(), 1.0)
-    with_word = seen.select("domain", F.explode("places").alias("place")).groupBy("place")
-    table = with_word.agg(*[F.count_if(F.col("domain") == d).cast("double").alias(f"c{i}") for i, d in enumerate(domains)])
-    cs = [F.col(f"c{i}") for i in range(len(domains))]
-    all_c = sum(cs[1:], cs[0])
-    # a place that all documents have, or a domain that none has, tells nothing
-    terms = [F.pow(c - all_c * k / n, 2) / (all_c * k / n) for c, k in zip(cs, n_k) if k]
-    chi2 = (sum(terms[1:], terms[0]) / F.greatest(1 - all_c / n, F.lit(1 / n))) if terms else F.lit(0.0)
-    best = table.withColumn("chi2", chi2).where(F.col("chi2") >= MIN_CHI2)
-    rows = best.orderBy(F.desc("chi2"), "place").limit(features).collect()
-    present = (np.array([[r[f"c{i}"] for r in rows] for i in range(len(domains))]).reshape(len(domains), -1) + SMOOTHING) / (
-        n_k[:, None] + 2 * SMOOTHING
-    )
-    prior = np.log((n_k + SMOOTHING) / (n + SMOOTHING * len(domains)))
-    return Classifier(
-        domains, [r["place"] for r in rows], np.log(present) - np.log1p(-present), prior + np.log1p(-present).sum(axis=1)
-    )
+    seen = materialise(seen.withColumn(half, F.pmod(F.xxhash64(F.lit("half"), "doc_id"), F.lit(2))), "labelled")
+
+    first = seen.where(F.col(half) == 0).select("domain", F.array_distinct(_places(words_of(F.col("text")))).alias("places"))
+    counts = {r["domain"]: r["n"] for r in first.groupBy("domain").agg(F.count("*").alias("n")).collect()}
+    n = np.array([counts.get(d, 0) for d in domains], float)[:, None]
+    table = first.select("domain", F.explode("places").alias("place")).groupBy("place")
+    table = table.agg(*[F.count_if(F.col("domain") == d).alias(f"c{i}") for i, d in enumerate(domains)])
+    # at most PLACES numbers for each domain
+    row = table.agg(*[F.collect_list(c).alias(c) for c in ("place", *[f"c{i}" for i in range(len(domains))])]).first()
+    c = np.zeros((len(domains), PLACES))
+    c[:, row["place"]] = [row[f"c{i}"] for i in range(len(domains))]
+    others, n_others = c.sum(axis=0) - c, n.sum() - n
+    odds = np.log((c + SMOOTHING) / (n + 2 * SMOOTHING)) - np.log((others + SMOOTHING) / (n_others + 2 * SMOOTHING))
+    weights = np.where(c.sum(axis=0) > 0, odds, 0.0)
+
+    rows = Classifier.features(seen.where(F.col(half) == 1), weights, "text", [words, figures])
+    rows = rows.select("doc_id", "domain", figures).orderBy("doc_id", "domain", figures).collect()  # at most max_labelled
+    x = np.array([r[figures] for r in rows], float).reshape(len(rows), -1 if rows else 7 + 2 * len(domains))
+    centre, spread = (x.mean(axis=0), x.std(axis=0) + 1e-6) if len(x) else (np.zeros(x.shape[1]), np.ones(x.shape[1]))
+    centre, spread = centre.round(6), spread.round(6)
+    z = np.clip((x - centre) / spread, -CUT, CUT)
+    theta = _softmax(np.hstack([np.ones((len(z), 1)), z, z * z]), np.array([domains.index(r["domain"]) for r in rows], int), len(domains))
+    return Classifier(domains, weights, centre, spread, theta)
 
 
 def _rate(steps: list[np.ndarray], p: list[Column], start: float, cap: float | None) -> Column:
@@ -158,11 +208,12 @@ def mix(
     names = [f"p_{d}" for d in domains]
     new = {"n_tokens", "rate", "copies", *names}
     carried = [c for c in (docs.columns if carry is None else carry) if c not in new]
-    staged = docs.select(*{*carried, "doc_id", "text"}).withColumn("__places", _places(F.col("text")))
+    words, figures = temporary("words", "figures")
+    staged = Classifier.features(docs.select(*{*carried, "doc_id", "text"}), model.weights, "text", [words, figures])
     staged = staged.select(
         *[f"`{c}`" for c in carried],
-        F.size(words_of(F.col("text"))).cast("long").alias("n_tokens"),
-        *[c.alias(name) for c, name in zip(model.posteriors("__places"), names)],
+        F.size(words).cast("long").alias("n_tokens"),
+        *[c.alias(name) for c, name in zip(model.posteriors(figures), names)],
     )
     staged = materialise(staged, "posteriors")
 
