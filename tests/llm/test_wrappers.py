@@ -1,4 +1,5 @@
 import json
+import random
 
 from tidemark.llm import wrappers as W
 
@@ -74,3 +75,53 @@ def test_wrappers_don_t_depend_on_how_pages_are_dealt(spark):
         assert found[0][host]["pages"] == found[1][host]["pages"]
         a, b = (W.furniture(json.loads(f[host]["wrapper"])) for f in found)
         assert a == b
+
+
+def test_no_article_text_is_lost_to_names():
+    assert W.main_text('<article><div class="content no-sidebar"><p>All of it</p></div></article>') == "All of it"
+    assert W.main_text('<article><section id="related-work"><h2>Before</h2><p>Others.</p></section></article>') == "Before\n\nOthers."
+    assert W.main_text('<article><h2 id="side-effects">Effects</h2><p>None.</p><section id="legal-issues"><p>Few.</p></section></article>') == "Effects\n\nNone.\n\nFew."
+    assert W.main_text("<article><p>So <math><mi>x</mi><mo>=</mo><mn>1</mn></math> holds, <object>as shown</object>.</p></article>") == "So x=1 holds, as shown."
+    for name in ("ad", "sidebar", "ad-slot", "cookie-notice", "site-footer", "related", "comments", "comment-list", "newsletter-form", "nav1", "social-share"):
+        assert W.main_text(f'<article><p>In.</p><div class="{name} x"><p>Out.</p></div></article>') == "In.", name
+
+
+def pages_of(host, n, notice="Read our terms."):
+    """Articles with a notice that no tag or name gives away."""
+    return [(f"http://{host}/{i}", f"<article><h1>T{i}</h1><p>Body {i} of {host}.</p><div><p>{notice}</p></div></article>") for i in range(n)]
+
+
+def test_the_wrapper_decides_within_articles(spark):
+    rows = pages_of("a.example", 20) + pages_of("b.example", 3)
+    # near copies of one article are not most of a host, and what they share is theirs
+    rows += [(f"http://a.example/x{i}", f"<article><h1>Copy</h1><p>Shared words.</p><p>Own {i}.</p><div><p>Read our terms.</p></div></article>") for i in range(9)]
+    # copies of one page on a host that varies: its quote is its own
+    rows += [(f"http://c.example/{i}", f"<div><h2>T{i}</h2><p>P{i}</p></div>") for i in range(20)]
+    rows += [(f"http://c.example/c{i}", "<div><h2>C</h2><blockquote>Quote</blockquote><p>end</p></div>") for i in range(12)]
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "page_id long, url string, html string").repartition(6)
+    got = {r["url"]: r["text"] for r in W.extract(df).collect()}
+    without = {r["url"]: r["text"] for r in W.extract(df, share=2.0).collect()}
+    assert got["http://a.example/1"] == "T1\n\nBody 1 of a.example." != without["http://a.example/1"]
+    assert got["http://b.example/1"] == "T1\n\nBody 1 of b.example.\n\nRead our terms."  # too few pages to tell
+    assert got["http://a.example/x3"] == "Copy\n\nShared words.\n\nOwn 3."
+    assert got["http://c.example/c3"] == "C\n\nQuote\n\nend"
+
+
+def test_extraction_equals_brute_force_on_planted_pages(spark):
+    """Pages built from known article blocks and furniture: the text is what was planted."""
+    rng = random.Random(4)
+    shells = {
+        "tags": "<body><nav><p>Go</p></nav>{0}<footer><p>End</p></footer></body>",
+        "names": '<body><div class="menu"><p>Go</p></div>{0}<div id="comments"><p>Me too</p></div></body>',
+        "bare": "<body><div><h4>Welcome to the site</h4>{0}<address>All rights are ours</address></div></body>",
+    }
+    rows, want = [], {}
+    for host, shell in shells.items():
+        for i in range(25):
+            blocks = [f"{host} {i} {k} " + " ".join(rng.choice("ab cd ef gh".split()) for _ in range(6)) for k in range(rng.randint(1, 6))]
+            marked = "".join(rng.choice(["<p>{}</p>", "<h2>{}</h2>", "<ul><li>{}</li></ul>", "<blockquote>{}</blockquote>"]).format(b) for b in blocks)
+            page = shell.format(marked if host == "bare" else f"<article>{marked}</article>")
+            rows.append((len(rows), f"https://{host}.example/{i}", page))
+            want[rows[-1][0]] = "\n\n".join(blocks)
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)
+    assert {r["page_id"]: r["text"] for r in W.extract(df).collect()} == want

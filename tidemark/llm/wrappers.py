@@ -7,7 +7,10 @@ host's wrapper. A wrapper says which texts all pages of a host share, which is i
 and where the texts that vary lie.
 
 A page is then read block by block. Blocks within furniture, by their tags and names or by
-the wrapper, are left out, and so is what lies beside the part that holds the article.
+the wrapper, are left out, and so is what lies beside the part that holds the article. Within an
+article a text is furniture if nearly all different pages of the host have it at one place of the
+wrapper; in a bare body some pages suffice. Copies of a page are aligned once, so a page that was
+copied often makes nothing furniture.
 """
 
 from __future__ import annotations
@@ -25,16 +28,21 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import materialise
 from tidemark.llm.warc import capture_key
+from tidemark.session import broadcast_within
 
 #: longest run of tokens that is looked for as a repeated group
 GROUP = 16
-#: pages that must have a text at a place, all the same, before it counts as furniture
+#: different pages that must have a text at a place, all the same, before it counts as furniture
 FURNITURE_PAGES = 8
+#: within an article also this share of the host's different pages
+FURNITURE_SHARE = 0.9
+#: digests of different pages that are sent to all tasks, some 100 bytes each
+MAX_BROADCAST_PAGES = 1_000_000
 #: hosts a task holds before it sends their wrappers on, and parts the wrappers of a host are merged in first
 HOSTS, SALTS = 256, 16
 
 TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(script|style|noscript|template|svg|iframe|textarea|select|math|object)\b"
+    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(script|style|noscript|template|svg|iframe|textarea|select)\b"
     r"(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|\Z)"
     r"|<(/?)([a-zA-Z][\w:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>",
     re.S | re.I,
@@ -48,15 +56,18 @@ BLOCKS = set(
 #: tags whose text is never the article's
 NEVER = set("head title nav aside footer form button label fieldset dialog menu option input legend".split())
 ROLES = set("navigation banner complementary contentinfo search form dialog alert alertdialog menu menubar".split())
-#: words of a class or an id that name furniture
+#: classes and ids that name furniture: whole ones, also with a number or a common ending behind
 NAMES = re.compile(
-    r"(?:^|[-_\s])(?:nav|navbar|navigation|menu|breadcrumbs?|header|masthead|footer|sidebar|side|aside|widget|rail|ads?|adv|advert\w*|"
+    r"(?:^|\s)(?:(?:site|page|main|top|bottom|left|right|global|post|article|user|reader|cookie|social|breaking)[-_])?(?:nav|navbar|navigation|menu|breadcrumbs?|header|masthead|footer|sidebar|side|aside|widget|rail|ads?|adv|advert\w*|"
     r"banner|sponsor\w*|promo\w*|cookies?|consent|gdpr|notice|alert|popup|modal|overlay|newsletter|subscribe|signup|login|share|sharing|social|"
-    r"comments?|commentlist|disqus|replies|reply|respond|related|recommend\w*|more-links|pagination|pager|toolbar|skip|copyright|legal)(?:$|[-_\s\d])",
+    r"comments?|commentlist|disqus|replies|reply|respond|related|recommend\w*|more-links|pagination|pager|toolbar|skip|copyright|legal)"
+    r"(?:[-_]?(?:\d+|bar|box|block|wrapper|container|area|section|list|links|menu|widget|banner|notice|form|inner|outer|content|slot|unit))*(?=$|\s)",
     re.I,
 )
 #: furniture that may stand in an article as its own part: a heading above it is the article's
-HEADINGS = re.compile(r"(?:^|[-_\s])(?:header|masthead|banner)(?:$|[-_\s\d])", re.I)
+HEADINGS = re.compile(r"(?:^|\s)(?:\w+[-_])?(?:header|masthead|banner)(?=$|\s)", re.I)
+#: within an article a section or heading is judged by its classes only: its id names its subject
+SUBJECTS = set("section h1 h2 h3 h4 h5 h6".split())
 
 
 def tokens(page: str) -> list[tuple[str, str, str]]:
@@ -249,8 +260,28 @@ def furniture(nodes: list[list], least: int = FURNITURE_PAGES) -> set[str]:
     return fixed if varying else set()
 
 
+def everywhere(nodes: list[list], pages: int, least: int = FURNITURE_PAGES, share: float = FURNITURE_SHARE) -> set[str]:
+    """Texts that nearly all of a host's ``pages`` have at one place, which is no repeated group.
+
+    None for a host with too few pages, or whose pages vary nowhere.
+    """
+    needed = max(least, share * pages)
+
+    def walk(part: list[list]) -> Iterator[str]:
+        for n in part:
+            if n[0] == "#" and n[1] is not None and n[2] >= needed:
+                yield n[1]
+            elif n[0] == "?":
+                yield from walk(n[1])
+
+    return set(walk(nodes)) if furniture(nodes, least) else set()
+
+
 def infer(pages: DataFrame) -> DataFrame:
-    """``host``, ``wrapper`` (its nodes as JSON) and ``pages`` from all rows of ``host`` and ``html``."""
+    """``host``, ``wrapper`` (its nodes as JSON) and ``pages`` from all different pages of ``host`` and ``html``.
+
+    Of equal pages of a host the one with the least ``url`` is aligned, where there is such a column.
+    """
 
     def joined(rows: Iterator[tuple[str, str | None]]) -> Iterator[pd.DataFrame]:
         held: dict[str, list] = {}
@@ -261,7 +292,11 @@ def infer(pages: DataFrame) -> DataFrame:
             held.clear()
             return pd.DataFrame(out, columns=["host", "salt", "wrapper", "pages"])
 
+        met: set[tuple[str, int]] = set()
         for host, page in rows:
+            if (host, hash(page)) in met:  # a row that came twice
+                continue
+            met.add((host, hash(page)))
             nodes = page_nodes(page or "")
             held[host] = [align(held[host][0], nodes), held[host][1] + 1] if host in held else [nodes, 1]
             if len(held) >= HOSTS:
@@ -279,7 +314,11 @@ def infer(pages: DataFrame) -> DataFrame:
             wrapper = align(wrapper, json.loads(w))
         return pd.DataFrame({"host": [b["host"].iloc[0]], "wrapper": [json.dumps(wrapper)], "pages": [b["pages"].sum()]})
 
-    parts = pages.select("host", "html").mapInPandas(first, "host string, salt int, wrapper string, pages long")
+    # of copies those with the least address stay; what they have in common is not moved for it
+    marked = pages.select("host", "html", (F.coalesce("url", F.lit("")) if "url" in pages.columns else F.lit("")).alias("address"), F.xxhash64("html").alias("a"), F.hash("html").alias("b"))
+    one = materialise(marked.groupBy("host", "a", "b").agg(F.min("address").alias("address")), "different-pages")
+    marked = marked.join(broadcast_within(one, MAX_BROADCAST_PAGES), ["host", "a", "b", "address"], "left_semi")
+    parts = marked.select("host", "html").mapInPandas(first, "host string, salt int, wrapper string, pages long")
     parts = parts.groupBy("host", "salt").applyInPandas(again, "host string, wrapper string, pages long")
     return parts.groupBy("host").applyInPandas(again, "host string, wrapper string, pages long")
 
@@ -295,19 +334,20 @@ def _excluded(name: str, rest: str, within_article: bool) -> bool:
         return False
     if "hidden" in a or a.get("aria-hidden") == "true" or re.search(r"display:\s*none", a.get("style", "")):
         return True
-    names = f"{a.get('class', '')} {a.get('id', '')}"
+    names = a.get("class", "") if within_article and name in SUBJECTS else f"{a.get('class', '')} {a.get('id', '')}"
     if within_article:
         names = HEADINGS.sub(" ", names)
     return a.get("role") in ROLES or bool(NAMES.search(names))
 
 
-def main_text(page: str | None, known: frozenset[str] | set[str] = frozenset()) -> str:
-    """The blocks of the article, joined by an empty line. ``known`` is the host's furniture.
+def main_text(page: str | None, known: frozenset[str] | set[str] = frozenset(), everywhere: frozenset[str] | set[str] = frozenset()) -> str:
+    """The blocks of the article, joined by an empty line.
 
     The article is what lies in ``article``, else in ``main`` or a part with that role, else the
-    whole body. Tags and names tell furniture anywhere; what the wrapper found to be furniture
-    is left out of a bare body only, since an article's own words may be on several pages. The
-    empty text for a page without an article.
+    whole body. Tags and names tell furniture anywhere. ``known``, what the wrapper found on several pages
+    of the host, is left out of a bare body only, since an article's own words may be on some pages;
+    ``everywhere``, what it found on nearly all, is left out of articles too, unless nothing else is there.
+    The empty text for a page without an article.
     """
     blocks: list[tuple[int, str]] = []  # (2 in an article, 1 in a main part, 0 elsewhere; text)
     open_: list[tuple[str, bool, int]] = []  # (tag, excluded, rank)
@@ -361,14 +401,16 @@ def main_text(page: str | None, known: frozenset[str] | set[str] = frozenset())
         open_.append((name, was or out, rank))
     flush()
     best = max((r for r, _ in blocks), default=0)
-    return "\n\n".join(t for r, t in blocks if r == best)
+    found = [t for r, t in blocks if r == best]
+    return "\n\n".join([t for t in found if t not in everywhere] or found)
 
 
-def extract(pages: DataFrame, least: int = FURNITURE_PAGES) -> DataFrame:
+def extract(pages: DataFrame, least: int = FURNITURE_PAGES, share: float = FURNITURE_SHARE) -> DataFrame:
     """``page_id``, ``url``, ``text`` and ``n_chars`` of every row of ``page_id``, ``url`` and ``html``.
 
     White space inside a block is one space, blocks are trimmed and joined by an empty line in
-    page order. A null or empty html gives the empty text. Pages with a null url, or one without
+    page order. Furniture of the same shape as the article's blocks and right beside them folds into one group
+    with these, so only tags and names can tell it. A null or empty html gives the empty text. Pages with a null url, or one without
     a host, share a wrapper. Other columns are ignored; repeated rows repeat. An empty table
     gives no rows.
     """
@@ -379,19 +421,21 @@ def extract(pages: DataFrame, least: int = FURNITURE_PAGES) -> DataFrame:
 
     def shared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            known = [sorted(furniture(json.loads(w), least)) for w in b["wrapper"]]
-            yield pd.DataFrame({"host": b["host"], "known": known})
+            wrappers = [json.loads(w) for w in b["wrapper"]]
+            known = [sorted(furniture(w, least)) for w in wrappers]
+            yield pd.DataFrame({"host": b["host"], "known": known, "anywhere": [sorted(everywhere(w, n, least, share)) for w, n in zip(wrappers, b["pages"])]})
 
-    known = found.mapInPandas(shared, "host string, known array<string>").where(F.size("known") > 0)
+    known = found.mapInPandas(shared, "host string, known array<string>, anywhere array<string>").where(F.size("known") > 0)
     known = materialise(known, "furniture")
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            texts = [main_text(p, frozenset(k) if k is not None else frozenset()) for p, k in zip(b["html"], b["known"])]
+            sets = ([frozenset(x) if x is not None else frozenset() for x in b[c]] for c in ("known", "anywhere"))
+            texts = [main_text(p, k, e) for p, k, e in zip(b["html"], *sets)]
             yield b[["page_id", "url"]].assign(text=texts, n_chars=[len(t) for t in texts])
 
     # ids travel as text: in pandas numbers beside a null are floats
     id_type = pages.schema["page_id"].dataType
-    joined = pages.withColumn("host", host("url")).join(known, "host", "left").select(F.col("page_id").cast("string"), "url", "html", "known")
+    joined = pages.withColumn("host", host("url")).join(known, "host", "left").select(F.col("page_id").cast("string"), "url", "html", "known", "anywhere")
     texts = joined.mapInPandas(read, "page_id string, url string, text string, n_chars long")
     return texts.withColumn("page_id", F.col("page_id").cast(id_type))
