@@ -291,6 +291,7 @@ def decomposition_document_months(spark: SparkSession, d: str) -> DataFrame:
 @query(
     f"""WITH {SQL_MONTHLY} SELECT key, variable, period_start, period_end, moy AS month,
   round(CASE WHEN variable[1:4] IN ('tmax', 'tmin', 'tmea') THEN round(mean, 4) * 9 / 5 + 32 ELSE round(mean, 4) END, 6) AS mean,
+  round(CASE WHEN variable[1:4] IN ('tmax', 'tmin', 'tmea') THEN round(p10, 4) * 9 / 5 + 32 ELSE round(p10, 4) END, 6) AS p10,
   round(CASE WHEN variable[1:4] IN ('tmax', 'tmin', 'tmea') THEN round(p90, 4) * 9 / 5 + 32 ELSE round(p90, 4) END, 6) AS p90
 FROM full_climatology"""
 )
@@ -303,7 +304,7 @@ def decomposition_in_fahrenheit(spark: SparkSession, d: str) -> DataFrame:
         "key", "variable", F.col("c.period")[0].alias("period_start"), F.col("c.period")[1].alias("period_end"),
         F.inline("c.values"),
     )
-    return rounded(cells.drop("p10"), "mean", "p90")
+    return rounded(cells, "mean", "p10", "p90")
 
 
 @query()

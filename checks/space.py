@@ -7,13 +7,15 @@ from pyspark.sql import functions as F
 
 from checks.tables import SQL_REGISTRY, query, rounded, supplier_registry, table
 from checks.trend import SUPPLIER_TRENDS, supplier_trends
+from tidemark import fixed_values as fixed
 from tidemark.functions import labels
 from tidemark.functions.geometry import circle_polygon
 from tidemark.operators import boundary, scaling, zonal
-from tidemark.plans import extract
+from tidemark.plans import boundaries, extract
 from tidemark.plans.extract import cell_membership, daily_series
 from tidemark.session import new_folder
-from tidemark.sources.registry import choose_datasets, finest_scale, small_table, uniqueness
+from tidemark.sources import documents, sinks
+from tidemark.sources.registry import choose_datasets, datasets, finest_scale, small_table, uniqueness
 from tidemark.spec import DEFAULT_SPEC
 
 # Outlines over the plane of account balance / 100 (x) and nation (y): a square with a
@@ -289,6 +291,58 @@ def split_parts(spark: SparkSession, d: str) -> DataFrame:
     return parts.select("key", "part_index", F.round(first[0], 6).alias("x"), F.round(first[1], 6).alias("y"))
 
 
+_DATASETS = [r for r in fixed.rows(fixed.DATASETS)]
+
+
+@query(
+    f"""WITH datasets(dataset, scale, start, bands) AS (VALUES {', '.join(f"('{r[0]}', {r[2]}, DATE '{r[4]}', {len(r[5].split())})" for r in _DATASETS)})
+SELECT dataset, scale, CAST(min(year(o_orderdate)) AS INTEGER) AS first_year, count(*) AS n_days, CAST(any_value(bands) AS INTEGER) AS n_bands
+FROM orders JOIN datasets ON dataset = CASE WHEN o_custkey % 2 = 0 THEN 'DAYMET' ELSE 'ERA5' END AND o_orderdate >= start GROUP BY dataset, scale"""
+)
+def days_of_datasets(spark: SparkSession, d: str) -> DataFrame:
+    """A dimension joined to a table of days: each with the data source it comes from, since that began."""
+    name = F.when(F.col("o_custkey") % 2 == 0, "DAYMET").otherwise("ERA5")
+    days = table(spark, d, "orders").select(F.to_date("o_orderdate").alias("date"), name.alias("dataset"))
+    joined = days.join(datasets(spark), "dataset").where(F.col("date") >= F.col("start"))
+    return joined.groupBy("dataset", F.col("scale").cast("int").alias("scale")).agg(
+        F.min(F.year("date")).alias("first_year"), F.count("*").alias("n_days"), F.size(F.first("bands")).alias("n_bands")
+    )
+
+
+@query(
+    f"""WITH {_LAYER} SELECT key, CAST(row_number() OVER (PARTITION BY key ORDER BY feature_id) - 1 AS INTEGER) AS part_index,
+  feature_id, round(x, 6) AS x FROM matched"""
+)
+def numbered_parts(spark: SparkSession, d: str) -> DataFrame:
+    """Parts numbered without bringing the features of a key together."""
+    rows = _matched(spark, d).repartition(7, F.xxhash64("feature_id")).select("key", "feature_id", "polygons")
+    out = boundaries.numbered_parts(rows, ["feature_id"])
+    return out.select("key", "part_index", "feature_id", F.round(F.col("polygons")[0][0][0][0], 6).alias("x"))
+
+
+@query(
+    """SELECT CAST(c_custkey % 3 AS VARCHAR) AS key, c_mktsegment AS unit_name, round(c_acctbal, 6) AS x,
+  CAST(c_nationkey AS DOUBLE) AS y FROM customer"""
+)
+def collection_features(spark: SparkSession, d: str) -> DataFrame:
+    """Collections of many features, read feature by feature."""
+    x, y = F.round("c_acctbal", 6), F.col("c_nationkey").cast("double")
+    ring = F.array(*[F.array(x + a, y + b) for a, b in [(0, 0), (1, 0), (0, 1), (0, 0)]])
+    n = F.col("c_custkey")
+    rows = table(spark, d, "customer").select((n % 3).cast("string").alias("key"), n.alias("n"), F.col("c_mktsegment").alias("unit_name"), F.array(F.array(ring)).alias("polygons"))
+    features = sinks.feature_text(rows, ["unit_name"], ["key", "n"])
+    ends = features.groupBy("key").agg(F.min("n").alias("first"), F.max("n").alias("last"))
+    lines = features.join(ends, "key").withColumn("value", F.concat(F.when(F.col("n") == F.col("first"), "").otherwise(","), F.col("value"))).drop("first", "last")
+    opening = ends.select("key", (F.col("first") - 1).alias("n"), F.lit('{"type":"FeatureCollection","features":[').alias("value"))
+    closing = ends.select("key", (F.col("last") + 1).alias("n"), F.lit("]}").alias("value"))
+    whole = lines.unionByName(opening).unionByName(closing).repartition("key").sortWithinPartitions("key", "n")
+    path = new_folder(spark, "collections")
+    whole.drop("n").write.partitionBy("key").text(path)
+    back = documents.read_features(spark, path, "*.txt", r"key=([^/]+)/")
+    first = F.col("polygons")[0][0][0]
+    return back.select("key", "properties.unit_name", first[0].alias("x"), first[1].alias("y"))
+
+
 @query(
     f"""WITH {_LAYER}, ranked AS (SELECT key, key % 2 = 0 AS multipart, x, y, count(*) OVER (PARTITION BY key) AS n,
     row_number() OVER (PARTITION BY key ORDER BY feature_id) - 1 AS i FROM matched),

@@ -389,6 +389,16 @@ def browse_region_significant(spark: SparkSession, d: str) -> DataFrame:
     return rounded(found.select("key", "region", "significant", "prcp_slope"), "prcp_slope")
 
 
+@query(
+    f"""{_SEARCHED} SELECT key, region, significant, round(prcp_slope, 6) AS prcp_slope FROM searchable
+WHERE region = 'Southwest' AND NOT significant"""
+)
+def browse_region(spark: SparkSession, d: str) -> DataFrame:
+    """A region with hits, of which those without a significant trend are shown."""
+    found = browse.browse(supplier_overview(spark, d), region="Southwest", sort="wetter")
+    return rounded(found.where(~F.col("significant")).select("key", "region", "significant", "prcp_slope"), "prcp_slope")
+
+
 @query(
     f"""{_SEARCHED} SELECT key, region, round(total_f, 6) AS total_f, significant,
   CAST(greatest(1, ceil(max(total_f) OVER ())) AS BIGINT) AS axis_max,

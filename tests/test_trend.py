@@ -99,6 +99,30 @@ def test_long_series_path_equals_the_short_one():
     assert trend._one_long(x, y) == pytest.approx(trend._many_short(x[None], y[None])[0], abs=1e-12)
 
 
+@pytest.mark.parametrize("n", [40, 300])
+@pytest.mark.parametrize("kind", ["noise", "ties", "line", "flat", "gaps"])
+def test_counting_equals_all_pairs(n, kind):
+    rng = np.random.default_rng(n)
+    x = np.arange(float(n))
+    y = {"noise": rng.normal(size=n), "ties": rng.integers(0, 3, n) * 1.0, "line": 2 * x + rng.integers(0, 2, n), "flat": np.zeros(n), "gaps": rng.normal(size=n)}[kind]
+    x = np.sort(rng.integers(0, n, n)) * 1.0 if kind == "gaps" else x
+    i, j = np.triu_indices(n, 1)
+    dx, dy = x[j] - x[i], y[j] - y[i]
+    for room in (20, 10**6):
+        assert trend._median_slope(x, y, room) == pytest.approx(np.median(dy[dx != 0] / dx[dx != 0]), abs=1e-12)
+    rank = np.unique(y, return_inverse=True)[1]
+    assert trend._falls(rank) == (dy < 0).sum()
+    a, b = trend._falling_pairs(rank)
+    assert set(zip(a.tolist(), b.tolist())) == {(p, q) for p, q in zip(i.tolist(), j.tolist()) if y[p] > y[q]}
+
+
+def test_a_hundred_thousand_points():
+    rng = np.random.default_rng(2)
+    x = np.arange(100_000.0)
+    slope, _, s, *_ = trend._one_long(x, 0.25 * x + rng.normal(size=len(x)))
+    assert slope == pytest.approx(0.25, abs=1e-6) and s > 4e9
+
+
 def test_all_at_one_place_has_no_slope():
     x, y = np.zeros(5), np.arange(5.0)
     assert math.isnan(trend._many_short(x[None], y[None])[0][0])

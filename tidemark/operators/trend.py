@@ -131,8 +131,9 @@ def _many_short(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 
 def _one_long(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """The same for a series whose pairs should not be held at once: lag by lag."""
-    s = sum(float(np.sign(dy).sum()) for _, dy in _lags(x, y))
+    """The same for a series whose pairs should not be held at once, in about n log n steps."""
+    rank = np.unique(y, return_inverse=True)[1]
+    s = float(_falls(rank[::-1]) - _falls(rank))  # rises less falls, in the order of the series
     values, inverse, counts = np.unique(y, return_inverse=True, return_counts=True)
     slope = np.array([_median_slope(x, y)])
     return _finish(x[None], y[None], slope, np.array([s]), _tie_term(counts[inverse][None]))[0]
@@ -161,48 +162,105 @@ def _median(v: np.ndarray) -> float:
     return float(np.median(v)) if len(v) else math.nan
 
 
-def _lags(x: np.ndarray, y: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    for d in range(1, len(x)):
-        yield x[d:] - x[:-d], y[d:] - y[:-d]
+def _levels(rank: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """The pairs of places whose ranks fall, as many steps as ranks have bits.
 
-
-def _slopes(x: np.ndarray, y: np.ndarray) -> Iterator[np.ndarray]:
-    for dx, dy in _lags(x, y):
-        yield dy[dx != 0] / dx[dx != 0]
+    Ranks are parted bit by bit from the highest on, as in a radix sort. A pair falls at the bit
+    where its first has a one and its second a zero, among those that agree on all higher bits. Each
+    step gives the places in their present order, which of them have a zero, how many ones of its
+    group stand before each, and the number of the group's first one among all ones.
+    """
+    place = np.arange(len(rank))
+    for bit in range(int(rank.max()).bit_length() - 1, -1, -1):
+        high = rank[place] >> (bit + 1)
+        one = (rank[place] >> bit & 1).astype(bool)
+        starts = np.flatnonzero(np.r_[True, high[1:] != high[:-1]])
+        before = np.cumsum(one) - one
+        base = np.repeat(before[starts], np.diff(np.r_[starts, len(place)]))
+        yield place, ~one, before - base, base
+        place = place[np.lexsort((one, np.cumsum(np.r_[False, high[1:] != high[:-1]])))]
+
+
+def _falls(rank: np.ndarray) -> int:
+    """How many pairs of places have a higher rank first."""
+    return sum([int(before[zero].sum()) for _, zero, before, _ in _levels(rank)])
+
+
+def _falling_pairs(rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """These pairs themselves."""
+    firsts, seconds = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for place, zero, before, base in _levels(rank):
+        ones = place[~zero]
+        n, first = before[zero], base[zero]
+        at = np.repeat(first - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+        firsts.append(ones[at])
+        seconds.append(np.repeat(place[zero], n))
+    return np.concatenate(firsts), np.concatenate(seconds)
+
+
+def _below(x: np.ndarray, y: np.ndarray, slope: float) -> int:
+    """How many pairs have a slope less than this, as far as rounding can tell."""
+    z = y - slope * x
+    order = np.lexsort((z, x))
+    return _falls(np.unique(z[order], return_inverse=True)[1])
+
+
+def _slopes_between(x: np.ndarray, y: np.ndarray, low: float, high: float) -> np.ndarray:
+    """The slopes of the pairs that are below ``high`` and not below ``low``."""
+    z_low, z_high = y - low * x, y - high * x
+    # along low they don't fall, along high they do: their order is turned
+    order = np.lexsort((z_high, x, z_low))
+    turned = np.unique(z_high[order], return_inverse=True)[1]
+    i, j = (order[k] for k in _falling_pairs(turned))
+    dx, dy = x[j] - x[i], y[j] - y[i]
+    return dy[dx > 0] / dx[dx > 0]
 
 
 def _median_slope(x: np.ndarray, y: np.ndarray, room: int = BLOCK) -> float:
-    """Exact median of all pairwise slopes in bounded memory."""
-    total = sum(len(v) for v in _slopes(x, y))
+    """Exact median of all pairwise slopes, in bounded memory and about n log n steps."""
+    order = np.argsort(x, kind="stable")
+    x, y = x[order], y[order]
+    same = np.unique(x, return_counts=True)[1].astype(np.int64)
+    total = len(x) * (len(x) - 1) // 2 - int((same * (same - 1) // 2).sum())
     if total == 0:
         return math.nan
-    ranks = {(total - 1) // 2, total // 2}
-    return float(np.mean([_nth_slope(x, y, r, room) for r in ranks]))
+    return float(np.mean([_nth_slope(x, y, r, total, room) for r in {(total - 1) // 2, total // 2}]))
 
 
-def _nth_slope(x: np.ndarray, y: np.ndarray, rank: int, room: int) -> float:
-    """Slope of a given rank: narrow a closed bracket until its slopes fit in ``room``.
+def _nth_slope(x: np.ndarray, y: np.ndarray, rank: int, total: int, room: int) -> float:
+    """Slope of a given rank: a bracket is narrowed by counting until its slopes fit in ``room``.
 
-    Every round removes at least the pivot from the bracket, and about half of the
-    slopes in it. Only counts decide, so the pivot affects speed, not the result.
+    Slopes of pairs drawn at random begin it, so only counts decide. Counting is exact but for slopes
+    that differ from an end of the bracket by rounding, which are inside either way. Slopes that are too many and
+    equal up to rounding are one value.
     """
+    rng = np.random.default_rng(7)
+    i, j = rng.integers(0, len(x), (2, 8 * len(x)))
+    drawn = np.sort(((y[j] - y[i])[x[i] != x[j]] / (x[j] - x[i])[x[i] != x[j]]))
+    reach = max(abs(drawn[0]), abs(drawn[-1]), 1e-300) * 1e-13
+    step = 3 * math.sqrt(len(drawn))
     low, high = -math.inf, math.inf
-    while True:
-        below, inside, found = 0, 0, []
-        for v in _slopes(x, y):
-            below += int((v < low).sum())
-            v = v[(v >= low) & (v <= high)]
-            inside += len(v)
-            found.append(v if inside <= room else v[:: max(1, len(v) // 8)])
-        pool = np.concatenate(found)
-        if inside <= room:
-            return float(np.partition(pool, rank - below)[rank - below])
-        pivot = float(np.partition(pool, len(pool) // 2)[len(pool) // 2])
-        less = sum(int((v < pivot).sum()) for v in _slopes(x, y))
-        upto = sum(int((v <= pivot).sum()) for v in _slopes(x, y))
-        if rank < less:
-            high = float(np.nextafter(pivot, -math.inf))
-        elif rank >= upto:
-            low = float(np.nextafter(pivot, math.inf))
+    n_low, n_high = 0, total
+    trials = [drawn[int(np.clip(rank / total * len(drawn) + d, 0, len(drawn) - 1))] for d in (-step, step)]
+    while n_high - n_low > room:
+        if trials:
+            t = float(trials.pop()) + (reach if len(trials) else -reach)
+        else:
+            if high - low <= 4 * reach:
+                return (low + high) / 2 if low + reach > 0 or high - reach < 0 else 0.0
+            t = (low + high) / 2
+        if not low < t < high:
+            continue
+        n = _below(x, y, t)
+        if n <= rank:
+            low, n_low = t, n
         else:
-            return pivot
+            high, n_high = t, n
+        if not trials and (math.isinf(low) or math.isinf(high)):
+            top = float(np.max(np.abs(np.diff(y))) / np.min(np.diff(x)[np.diff(x) > 0])) * 2 + 1  # steeper than any neighbours
+            low, high = max(low, -top), min(high, top)
+    if math.isinf(low) or math.isinf(high):
+        top = float(np.ptp(y) / np.min(np.diff(x)[np.diff(x) > 0])) * 2 + 1
+        low, high = max(low, -top), min(high, top)
+    found = _slopes_between(x, y, low, high)
+    return float(np.partition(found, rank - n_low)[rank - n_low])

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -21,9 +22,11 @@ SETTINGS = {
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named in ``spark.checkpoint.dir``; a temporary one only where none is set."""
+    """The folder named in ``spark.checkpoint.dir``; a temporary one only on a local master without it."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
+        if not re.match(r"local($|\[)", spark.sparkContext.master):
+            raise ValueError("on a cluster spark.checkpoint.dir has to name a folder that all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tidemark-"))
         folder = spark.sparkContext.getCheckpointDir()
     return folder

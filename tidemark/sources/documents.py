@@ -55,6 +55,25 @@ def feature_polygons(boundaries: DataFrame, keep: Sequence[str] = ("key",)) -> D
     )
 
 
+def read_features(
+    spark: SparkSession, path: str | list[str], glob: str = "*.geojson", key: str = r"([^/]+)\.geojson$"
+) -> DataFrame:
+    """``key, properties, polygons`` of each feature of GeoJSON files, which are split at their features.
+
+    ``key`` is found in a file's path by an expression.
+
+    A collection of any size is read by many tasks, a feature a row. Every feature must begin with its
+    type, as writers put it; ``read_boundaries`` takes any order, but a file at a time.
+    """
+    reader = spark.read.option("lineSep", '"Feature"').option("pathGlobFilter", glob)
+    texts = reader.text(path).select("_metadata.file_path", "value")
+    # what stands behind the type of one feature, up to that of the next; the reader stops where the feature ends
+    body = texts.where(F.col("value").rlike(r"^\s*,")).select(
+        F.regexp_extract("file_path", key, 1).alias("key"), F.from_json(F.concat(F.lit('{"type":"Feature"'), "value"), _FEATURE).alias("f")
+    )
+    return body.select("key", F.col("f.properties").alias("properties"), geojson_polygons(F.col("f.geometry")).alias("polygons"))
+
+
 def read_layer(
     spark: SparkSession,
     path: str,

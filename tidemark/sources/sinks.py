@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.geometry import geojson_geometry
 from tidemark.functions.values import numbers_finite
+from tidemark.session import materialise
 from tidemark.spec import DATASET_COLUMNS
 
 
@@ -86,8 +87,10 @@ def write_boundaries(
     With very many keys, ``folders=False`` leaves out the small file for each.
     """
     features = feature_text(boundaries, properties, (key,))
-    features.select("value").write.text(f"{path}/all_keys")
     if not folders:
+        features.select("value").write.text(f"{path}/all_keys")
         return
+    features = materialise(features, "features")  # written in two forms
+    features.select("value").write.text(f"{path}/all_keys")
     collection = F.concat(F.lit('{"type":"FeatureCollection","features":['), "value", F.lit("]}"))
     features.select(key, collection.alias("value")).write.partitionBy(key).text(f"{path}/by_key")
