@@ -13,10 +13,12 @@ from checks.tables import (
     SQL_ANNUAL,
     SQL_REGISTRY,
     SQL_SUPPLIER_MONTHS,
+    VARS,
     canonical,
     combined,
     query,
     rounded,
+    sql_reduce,
     sql_trends,
     supplier_months,
     supplier_registry,
@@ -273,6 +275,28 @@ def audit_findings(spark: SparkSession, d: str) -> DataFrame:
     return audit(combined(spark, d), wide, rows, bounds, BANDS, MIN_ROWS)
 
 
+_PART_YEARS = f"""part_annual AS (SELECT key, part, CAST(year(date) AS INTEGER) AS year, {sql_reduce()}
+  FROM canonical GROUP BY ALL HAVING count(*) >= {MIN_ROWS}),
+part_long AS ({' UNION ALL '.join(f"SELECT key || '/' || part AS key, year, '{v}' AS variable, {v} AS value FROM part_annual" for v in VARS)}),
+all_years AS (SELECT * FROM annual_long UNION ALL SELECT * FROM part_long)"""
+
+
+@query(
+    f"""WITH {SQL_ANNUAL}, {_PART_YEARS}
+SELECT key, variable, 'annual ' || CASE variable WHEN 'tmean_c' THEN 'mean' ELSE 'sum' END || ' recompute' AS "check", 'PASS' AS status,
+  count(*) || ' years agree' AS note FROM all_years WHERE variable IN ('tmean_c', 'prcp_mm') GROUP BY key, variable"""
+)
+def audit_of_parts(spark: SparkSession, d: str) -> DataFrame:
+    """What the audit says of the recomputed years of keys and of all their parts."""
+    wide = materialise(_annual(spark, d), "annual")
+    rows = trend.trends(aggregate.to_long(wide, ["key", "year"]), ["key"], min_points=5)
+    bounds = wide.select("key").distinct().select("key", F.lit(-1.0).alias("lo"), F.lit(1.0).alias("hi"), F.lit("own").alias("source"))
+    parts = canonical(spark, d)
+    part_annual = aggregate.annual(parts, ["key", "part"], min_rows=MIN_ROWS)
+    found = audit(combined(spark, d), wide, rows, bounds, BANDS, MIN_ROWS, part_daily=parts, part_annual=part_annual)
+    return found.where(F.col("check").endswith("recompute"))
+
+
 # ---- documents ------------------------------------------------------------------------
 
 LIMITS = Thresholds(MIN_ROWS, 5, REFERENCE, PERIODS)
@@ -327,6 +351,62 @@ def summary_document_facts(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def _with_parts(docs: DataFrame, field: str) -> DataFrame:
+    """The rows of a list in the documents, of keys and of their parts, named ``key/part``."""
+    own = docs.select("key", F.inline(field))
+    parts = docs.select("key", F.explode("part_summaries").alias("part", "s")).select(F.concat_ws("/", "key", "part").alias("key"), F.inline(f"s.{field}"))
+    return own.unionByName(parts)
+
+
+@query(f"WITH {SQL_ANNUAL}, {_PART_YEARS} SELECT key, year, variable, round(value, 6) AS value FROM all_years WHERE value IS NOT NULL")
+def summary_document_years(spark: SparkSession, d: str) -> DataFrame:
+    """All annual values inside the documents, those of parts included."""
+    docs = materialise(summary_documents(flag_tables(spark, d), flag_registry(spark, d)), "documents")
+    wide = _with_parts(docs, "annual")
+    long = wide.unpivot(["key", "year"], [c for c in wide.columns if c not in ("key", "year")], "variable", "value")
+    return rounded(long.where("value IS NOT NULL"), "value")
+
+
+@query(
+    f"""WITH {SQL_ANNUAL}, {_PART_YEARS}, {sql_trends('all_years', 'year', 5)}
+SELECT key, variable, n, start_year, end_year, round(slope_per_year, 6) AS slope_per_year, round(total_change, 6) AS total_change,
+  round(p_value, 6) AS p_value, significant_95 FROM trends"""
+)
+def summary_document_trends(spark: SparkSession, d: str) -> DataFrame:
+    """All trends inside the documents, those of parts included."""
+    docs = materialise(summary_documents(flag_tables(spark, d), flag_registry(spark, d)), "documents")
+    fields = "key variable n start_year end_year slope_per_year total_change p_value significant_95".split()
+    return rounded(_with_parts(docs, "trends").select(*fields), "slope_per_year", "total_change", "p_value")
+
+
+@query(
+    f"""WITH {SQL_ANNUAL}, moments AS (SELECT *,
+  avg(CASE WHEN year BETWEEN {REFERENCE[0]} AND {REFERENCE[1]} THEN value END) OVER s AS mu,
+  stddev_pop(CASE WHEN year BETWEEN {REFERENCE[0]} AND {REFERENCE[1]} THEN value END) OVER s AS sd
+  FROM annual_long WINDOW s AS (PARTITION BY key, variable)),
+scored AS (SELECT key, year, variable, value - mu AS anom, CASE WHEN sd <> 0 THEN (value - mu) / sd END AS z FROM moments)
+SELECT key, year, variable, round(anom, 6) AS anom, round(z, 6) AS z FROM scored"""
+)
+def summary_document_anomalies(spark: SparkSession, d: str) -> DataFrame:
+    """All anomalies inside the documents."""
+    docs = summary_documents(flag_tables(spark, d), flag_registry(spark, d))
+    return rounded(docs.select("key", F.inline("anomalies")).select("key", "year", "variable", "anom", "z"), "anom", "z")
+
+
+@query(
+    f"""WITH {SQL_ANNUAL}, {sql_trends('annual_long', 'year', 5)}
+SELECT k.key, 'Flag ' || k.key AS unit_name, CAST(min(year) AS INTEGER) AS start_year, CAST(max(year) AS INTEGER) AS end_year,
+  t.variable, round(any_value(t.slope_per_year), 6) AS slope_per_year, any_value(t.significant_95) AS significant_95
+FROM (SELECT DISTINCT l_returnflag AS key FROM lineitem) k JOIN trends t ON t.key = k.key LEFT JOIN annual a ON a.key = k.key
+WHERE t.variable IN ('tmean_c', 'tmax_c', 'tmin_c', 'prcp_mm') GROUP BY k.key, t.variable"""
+)
+def index_document_trends(spark: SparkSession, d: str) -> DataFrame:
+    """The headline trends of all index entries."""
+    entries = index_documents(summary_documents(flag_tables(spark, d), flag_registry(spark, d)))
+    each = entries.select("key", "unit_name", "period.start_year", "period.end_year", F.explode("headline_trends").alias("variable", "t"))
+    return each.select("key", "unit_name", "start_year", "end_year", "variable", F.round("t.slope_per_year", 6).alias("slope_per_year"), "t.significant_95")
+
+
 @query()
 def index_document(spark: SparkSession, d: str) -> DataFrame:
     return index_documents(summary_documents(flag_tables(spark, d), flag_registry(spark, d)))
