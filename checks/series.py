@@ -29,6 +29,8 @@ from tidemark.functions.colour import label_colour
 from tidemark.operators import aggregate, anomaly, browse, chunks, decompose
 from tidemark.operators.canonical import canonicalise, coalesce_dates, combine_parts, present_columns, select_bands
 from tidemark.operators.zonal import zonal_mean
+from tidemark.plans import backfill
+from tidemark.session import materialise, new_folder
 from tidemark.sources.registry import only_keys
 from tidemark.sources.sinks import export_columns
 from tidemark.spec import DATASET_COLUMNS, PRESENT
@@ -143,6 +145,23 @@ def annual_by_part_from_months(spark: SparkSession, d: str) -> DataFrame:
     return rounded(aggregate.annual_from_partials(months, ["key", "part"], min_rows=MIN_ROWS), *VARS)
 
 
+@query(
+    f"""WITH {SQL_CANONICAL}, reduced AS (
+  SELECT key, part, CAST(year(date) AS INTEGER) AS year, count(*) AS n_days, {sql_reduce()}
+  FROM canonical GROUP BY ALL HAVING count(*) >= {MIN_ROWS})
+SELECT key, part, year, n_days, {R_VARS} FROM reduced"""
+)
+def annual_of_appended_days(spark: SparkSession, d: str) -> DataFrame:
+    """Days that arrive in two chunks with a common month; the second also has wrong values for known days."""
+    days, store = materialise(canonical(spark, d), "days"), new_folder(spark, "store")
+    backfill.append_days(days.where("date < '1995-06-17'"), store, ["key", "part"])
+    late = days.where("date >= '1995-03-01'")
+    wrong = F.when(F.col("date") < "1995-06-17", F.col("prcp_mm") + 1).otherwise(F.col("prcp_mm"))
+    backfill.append_days(late.withColumn("prcp_mm", wrong), store, ["key", "part"])
+    months = backfill.stored_months(spark, store)
+    return rounded(aggregate.annual_from_partials(months, ["key", "part"], min_rows=MIN_ROWS), *VARS)
+
+
 @query(
     f"WITH {SQL_ANNUAL} SELECT key, year, variable, round(value, 6) AS value FROM annual_long"
 )
