@@ -8,18 +8,17 @@ gradients. A rate depends on a document's own n and p and on one gradient of as
 as there are domains per step. A step is one aggregation over a stored table of small rows;
 only those numbers reach the driver.
 
-Everything is built-in functions. No document is moved: there is no shuffle but of counts.
+Everything is built-in functions. No text is moved: what is shuffled are counts, and a few numbers for each document.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import materialise, temporary, words_of
+from tidemark.session import broadcast_within
 
 #: labelled documents the classifier is fitted on at most, taken by a hash of their id
 MAX_LABELLED = 20_000
@@ -29,15 +28,22 @@ SMOOTHING = 0.5
 #: the softmax regression: steps, their size, the weight of large coefficients, and where features are cut off
 ROUNDS, RATE, RIDGE, CUT = 800, 0.5, 1e-3, 5.0
 STEPS = 40
+#: documents whose keys (12 bytes) are sent to all tasks
+MAX_BROADCAST_KEPT = 2_000_000
 #: a fit ends when no domain is further from its target than this share of all tokens, or steps change nothing
 TOLERANCE = 1e-6
 #: rates are rounded to so many decimals, so that the order of sums doesn't show
 DECIMALS = 6
 
 
-def _places(words: Column) -> Column:
-    """The place of each word, without the punctuation around it, in lower case."""
-    return F.transform(words, lambda w: F.pmod(F.xxhash64(F.lower(F.btrim(w, F.lit(".,;:!?\"()")))), F.lit(PLACES)).cast("int"))
+def _place(word: Column) -> Column:
+    """The place of a word, without the punctuation around it, in lower case."""
+    return F.pmod(F.xxhash64(F.lower(F.btrim(word, F.lit(".,;:!?\"()")))), F.lit(PLACES)).cast("int")
+
+
+def _text_keys(text: str) -> list[Column]:
+    """What stands for a text where it is not moved itself."""
+    return [F.xxhash64(text), F.hash(text)]
 
 
 def _style(text: Column, words: str) -> list[Column]:
@@ -60,35 +66,42 @@ def _style(text: Column, words: str) -> list[Column]:
     ]
 
 
-def _entry_of(table: Column) -> Callable[[Column], Column]:
-    return lambda i: F.get(table, i)
-
-
 class Classifier:
     """Naive Bayes weights for every place, and a softmax regression on what they say and on the style.
 
     The words of a text give each domain two figures, the mean and the largest of their weights. These and the
-    style, each also squared, decide. All tables are of bounded size.
+    style, each also squared, decide. All tables are of bounded size: ``weights`` has a row for each place at most.
     """
 
-    def __init__(self, domains: list[str], weights: np.ndarray, centre: np.ndarray, spread: np.ndarray, theta: np.ndarray):
+    def __init__(self, domains: list[str], weights: DataFrame, centre: np.ndarray, spread: np.ndarray, theta: np.ndarray):
         self.domains, self.weights, self.centre, self.spread, self.theta = domains, weights, centre, spread, theta
 
     @staticmethod
-    def features(df: DataFrame, weights: np.ndarray, text: str, names: list[str]) -> DataFrame:
-        """``df`` with a column of figures for each name: ``names`` are one for the words, and one for all figures."""
-        words, figures = names
-        df = df.withColumn(words, words_of(F.col(text)))
-        places, *found = temporary("places", *[f"w{i}" for i in range(len(weights))])
-        df = df.withColumn(places, _places(F.col(words)))
-        # one constant for all places, not an expression each
-        tables = [F.split(F.lit(",".join([f"{x:.4f}" for x in w])), ",").cast("array<double>") for w in weights]
-        df = df.withColumns({c: F.transform(places, _entry_of(t)) for c, t in zip(found, tables)})
-        n = F.greatest(F.size(words), F.lit(1))
-        means = [F.aggregate(c, F.lit(0.0), lambda a, x: a + x) / n for c in found]
-        tops = [F.coalesce(F.array_max(c), F.lit(0.0)) for c in found]
-        all_ = F.array(*_style(F.coalesce(F.col(text), F.lit("")), words), *means, *tops)
-        return df.withColumn(figures, all_).drop(places, *found)
+    def features(df: DataFrame, weights: DataFrame, n_domains: int, words: str, figures: str) -> DataFrame:
+        """``df`` with the number of ``words`` and the column ``figures`` in place of its ``text``.
+
+        Words meet their weights one by one, and are aggregated by text before anything moves: a row of a few
+        numbers for each text. Copies of a text have the same means and maxima, so they need not be told apart.
+        """
+        a, b, place = temporary("a", "b", "place")
+        keys = [k.alias(n) for k, n in zip(_text_keys("text"), (a, b))]
+        # keys are made before words are parted: what stands beside an explode is evaluated for every word
+        each = df.select(*keys, words_of(F.col("text")).alias(place)).select(a, b, F.explode(place).alias(place))
+        each = each.withColumn(place, _place(F.col(place)))
+        met = each.join(F.broadcast(weights.withColumnRenamed("place", place)), place, "left")
+        w = [F.coalesce(f"w{i}", F.lit(0.0)) for i in range(n_domains)]
+        told = [f(x).alias(f"{n}{i}") for n, f in (("mean", F.avg), ("top", F.max)) for i, x in enumerate(w)]
+        told = met.groupBy(a, b).agg(*told)
+        names = [f"{n}{i}" for n in ("mean", "top") for i in range(n_domains)]
+        (of_words,) = temporary("told")
+        told = told.select(a, b, F.array(*[F.round(n, 9) for n in names]).alias(of_words))
+        df = df.withColumn(words, words_of(F.col("text")))
+        df = df.withColumn(figures, F.array(*_style(F.coalesce(F.col("text"), F.lit("")), words)))
+        # texts and words end here: only their numbers go on into the join
+        rest = [f"`{c}`" for c in df.columns if c not in ("text", words)]
+        df = df.select(*rest, F.size(words).alias(words), *keys).join(told, [a, b], "left").drop(a, b)
+        none = F.lit([0.0] * len(names))
+        return df.withColumn(figures, F.concat(figures, F.coalesce(of_words, none))).drop(of_words)
 
     def posteriors(self, figures: str) -> list[Column]:
         """A probability for each domain from the column of figures."""
@@ -138,20 +151,22 @@ def fit_classifier(docs: DataFrame, labels: DataFrame, domains: list[str], max_l
     seen = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id")
     seen = materialise(seen.withColumn(half, F.pmod(F.xxhash64(F.lit("half"), "doc_id"), F.lit(2))), "labelled")
 
-    first = seen.where(F.col(half) == 0).select("domain", F.array_distinct(_places(words_of(F.col("text")))).alias("places"))
+    first = seen.where(F.col(half) == 0).select("doc_id", "domain", F.array_distinct(words_of(F.col("text"))).alias(words))
     counts = {r["domain"]: r["n"] for r in first.groupBy("domain").agg(F.count("*").alias("n")).collect()}
-    n = np.array([counts.get(d, 0) for d in domains], float)[:, None]
-    table = first.select("domain", F.explode("places").alias("place")).groupBy("place")
-    table = table.agg(*[F.count_if(F.col("domain") == d).alias(f"c{i}") for i, d in enumerate(domains)])
-    # at most PLACES numbers for each domain
-    row = table.agg(*[F.collect_list(c).alias(c) for c in ("place", *[f"c{i}" for i in range(len(domains))])]).first()
-    c = np.zeros((len(domains), PLACES))
-    c[:, row["place"]] = [row[f"c{i}"] for i in range(len(domains))]
-    others, n_others = c.sum(axis=0) - c, n.sum() - n
-    odds = np.log((c + SMOOTHING) / (n + 2 * SMOOTHING)) - np.log((others + SMOOTHING) / (n_others + 2 * SMOOTHING))
-    weights = np.where(c.sum(axis=0) > 0, odds, 0.0)
-
-    rows = Classifier.features(seen.where(F.col(half) == 1), weights, "text", [words, figures])
+    n = [float(counts.get(d, 0)) for d in domains]
+    each = first.select("doc_id", "domain", F.explode(words).alias("place")).withColumn("place", _place(F.col("place"))).distinct()
+    table = each.groupBy("place").agg(*[F.count_if(F.col("domain") == d).alias(f"c{i}") for i, d in enumerate(domains)])
+    c = [F.col(f"c{i}") for i in range(len(domains))]
+    all_c = sum(c[1:], c[0])
+
+    def odds(k: int) -> Column:
+        inside = (c[k] + SMOOTHING) / (n[k] + 2 * SMOOTHING)
+        return F.log(inside / ((all_c - c[k] + SMOOTHING) / (sum(n) - n[k] + 2 * SMOOTHING)))
+
+    # at most PLACES rows, fit for a broadcast
+    weights = materialise(table.select("place", *[F.round(odds(k), 4).alias(f"w{k}") for k in range(len(domains))]), "weights")
+
+    rows = Classifier.features(seen.where(F.col(half) == 1).select("doc_id", "domain", "text"), weights, len(domains), words, figures)
     rows = rows.select("doc_id", "domain", figures).orderBy("doc_id", "domain", figures).collect()  # at most max_labelled
     x = np.array([r[figures] for r in rows], float).reshape(len(rows), -1 if rows else 7 + 2 * len(domains))
     centre, spread = (x.mean(axis=0), x.std(axis=0) + 1e-6) if len(x) else (np.zeros(x.shape[1]), np.ones(x.shape[1]))
@@ -209,10 +224,12 @@ def mix(
     new = {"n_tokens", "rate", "copies", *names}
     carried = [c for c in (docs.columns if carry is None else carry) if c not in new]
     words, figures = temporary("words", "figures")
-    staged = Classifier.features(docs.select(*{*carried, "doc_id", "text"}), model.weights, "text", [words, figures])
+    (text,) = temporary("text")  # what is carried stays beside it
+    staged = docs.select(*[F.col(f"`{c}`").alias(text if c == "text" else c) for c in carried], "text")
+    staged = Classifier.features(staged, model.weights, len(domains), words, figures)
     staged = staged.select(
-        *[f"`{c}`" for c in carried],
-        F.size(words).cast("long").alias("n_tokens"),
+        *[F.col(f"`{text if c == 'text' else c}`").alias(c) for c in carried],
+        F.col(words).cast("long").alias("n_tokens"),
         *[c.alias(name) for c, name in zip(model.posteriors(figures), names)],
     )
     staged = materialise(staged, "posteriors")
@@ -256,5 +273,9 @@ def domains_of(labels: DataFrame) -> DataFrame:
 
 def keep_mixed(docs: DataFrame, labels: DataFrame, targets: dict[str, float], anchor: str, headroom: float) -> DataFrame:
     """The documents that the mix takes, each once; columns as they came."""
-    mixed = mix(docs, labels, targets, anchor=anchor, headroom=headroom, max_rate=1.0)
-    return mixed.where("copies > 0").select(*[f"`{c}`" for c in docs.columns])
+    a, b = temporary("a", "b")
+    keyed = docs.withColumns({a: F.xxhash64("doc_id", "text"), b: F.hash("doc_id", "text")})  # never null
+    mixed = mix(keyed, labels, targets, anchor=anchor, headroom=headroom, max_rate=1.0, carry=["doc_id", a, b])
+    kept = mixed.where("copies > 0").select(a, b).distinct()
+    # texts stay where they are while the keys of what is kept can be sent; beyond that they are joined
+    return keyed.join(broadcast_within(kept, MAX_BROADCAST_KEPT), [a, b], "left_semi").select(*[f"`{c}`" for c in docs.columns])
