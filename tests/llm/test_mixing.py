@@ -53,6 +53,23 @@ def test_cap_and_anchor_keep_the_anchor_whole(spark):
     assert share["a"] == 1 and share["c"] < 0.05 and 0.01 < share["b"] < 0.5
 
 
+def test_targets_out_of_reach_are_approached_in_tokens(spark):
+    rows, labels = corpus(400, 4)
+    few = {i for i, d in labels if d == "b"} - set([i for i, d in labels if d == "b"][:6])  # a domain with hardly any rows
+    docs = spark.createDataFrame([r for r in rows if r[0] not in few], SCHEMA)
+    known = spark.createDataFrame(labels, "doc_id long, domain string")
+    goals = {"a": 0.9, "b": 0.1, "c": 0.0}
+    got = mixing.mix(docs, known, goals, anchor="a", headroom=0.05, max_rate=1.0).toPandas()
+    p, n, rate = got[["p_a", "p_b", "p_c"]].to_numpy(float), got["n_tokens"].to_numpy(float), got["rate"].to_numpy(float)
+    weighted = p * n[:, None]
+    goal = np.array(list(goals.values())) / 0.9 * weighted[:, 0].sum() * 1.05
+    best, step = np.ones(len(n)), 1 / np.linalg.eigvalsh(weighted.T @ p)[-1]
+    for _ in range(20_000):
+        best = np.clip(best - step * (p @ (weighted.T @ best - goal)), 0, 1)
+    far, least = (np.linalg.norm(weighted.T @ r - goal) for r in (rate, best))
+    assert least > 1 and far <= 1.02 * least and rate.max() <= 1
+
+
 def test_odd_rows(spark):
     docs = [(1, None, 1, ""), (2, "", 1, ""), (None, "aant words here", 1, ""), (3, "bbee " * 5000, 1, ""), (3, "bbee " * 5000, 1, "")]
     labels = [(1, None), (None, "a"), (2, "other"), (3, "b"), (3, "b")]

@@ -32,6 +32,8 @@ STEPS = 40
 MAX_BROADCAST_KEPT = 2_000_000
 #: a fit ends when no domain is further from its target than this share of all tokens, or steps change nothing
 TOLERANCE = 1e-6
+#: targets count as met if no domain is further away than this share of all tokens
+MET = 1e-3
 #: rates are rounded to so many decimals, so that the order of sums doesn't show
 DECIMALS = 6
 
@@ -212,8 +214,9 @@ def mix(
     ``docs`` needs ``doc_id`` and ``text``; columns with the names of results are replaced. A
     null or empty text has no tokens: it weighs nothing in the fit and gets the rate of its
     posterior. Rows without a ``doc_id`` take part like others and are rounded alike. Repeated
-    rows each count and get equal rates. Domains without tokens keep their distance from
-    the target. An empty table gives an empty result.
+    rows each count and get equal rates. Targets that no rates meet, as those of domains without
+    tokens or beyond ``max_rate``, are approached in tokens: the sum of squared distances falls.
+    An empty table gives an empty result.
     """
     domains = sorted(targets)
     if not domains or min(targets.values()) < 0 or sum(targets.values()) <= 0:
@@ -247,19 +250,30 @@ def mix(
         budget = have[k] * (1 + headroom) / weights[k]
     goal = weights * (have.sum() if budget is None else budget)
 
-    # In the metric of the tokens a step of one is safe: the distance is measured by the inverse Gram matrix.
-    scale = np.linalg.pinv(gram + np.eye(len(p)) * max(gram.trace(), 1.0) * 1e-9)
+    def fit(scale: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+        """Steps from the natural mix, each the distance left times ``scale``, and the totals they end at."""
+        steps: list[np.ndarray] = []
+        total = have
+        for _ in range(STEPS if have.sum() else 0):
+            if np.abs(total - goal).max() <= TOLERANCE * goal.sum():
+                break
+            steps.append(scale @ (total - goal))
+            rate = _rate(steps, p, 1.0, max_rate)
+            row = staged.select(rate.alias("r"), n.alias("n"), *names).agg(*[F.sum(F.col("n") * F.col("r") * x) for x in p]).first()
+            before, total = total, np.array(row, float)
+            if np.abs(total - before).max() <= TOLERANCE / 100 * goal.sum():
+                break
+        return steps, total
+
+    # Targets that can be met are met by any metric, and soonest by the inverse Gram matrix, in which a step of one is safe.
+    # What can't be met is approached in tokens: that metric would give up much of a large domain for little of a small one.
     steps: list[np.ndarray] = []
-    total = have
-    for _ in range(STEPS if have.sum() else 0):
-        if np.abs(total - goal).max() <= TOLERANCE * goal.sum():
-            break
-        steps.append(scale @ (total - goal))
-        rate = _rate(steps, p, 1.0, max_rate)
-        row = staged.select(rate.alias("r"), n.alias("n"), *names).agg(*[F.sum(F.col("n") * F.col("r") * x) for x in p]).first()
-        before, total = total, np.array(row, float)
-        if np.abs(total - before).max() <= TOLERANCE / 100 * goal.sum():
-            break
+    met = max_rate is None or bool((goal <= have * max_rate).all())
+    if met:
+        steps, total = fit(np.linalg.pinv(gram + np.eye(len(p)) * max(gram.trace(), 1.0) * 1e-9))
+        met = np.abs(total - goal).max() <= MET * goal.sum()
+    if not met and have.sum():
+        steps, _ = fit(np.eye(len(p)) / np.linalg.eigvalsh(gram)[-1])
     rated = staged.withColumn("rate", F.round(_rate(steps, p, 1.0, max_rate), DECIMALS))
     chance = F.pmod(F.xxhash64(F.lit("mix"), "doc_id" if "doc_id" in carried else F.lit(0)), F.lit(1 << 30)) / (1 << 30)
     return rated.withColumn("copies", (F.floor("rate") + (chance < F.col("rate") - F.floor("rate")).cast("int")).cast("int"))
