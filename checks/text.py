@@ -353,9 +353,7 @@ def boundary_files(spark: SparkSession, d: str) -> DataFrame:
 
     path = new_folder(spark, "boundaries")
     sinks.write_boundaries(done, path, PROPERTIES)
-    texts = spark.read.option("wholetext", True).text(f"{path}/by_key")
-    keyed = texts.select(F.regexp_extract("_metadata.file_path", r"key=([^/]+)/", 1).alias("key"), "value")
-    back = documents.feature_polygons(documents.parse_boundaries(keyed))
+    back = documents.feature_polygons(documents.read_boundaries_by_key(spark, f"{path}/by_key"))
     return back.select(
         "key",
         "properties.unit_name",

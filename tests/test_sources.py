@@ -153,6 +153,30 @@ def test_boundaries_written_with_slopes_and_nulls(spark, frame, tmp_path):
     assert one["type"] == "FeatureCollection" and len(one["features"][0]["geometry"]["coordinates"][0]) == 33
 
 
+def test_files_of_keys_are_written_by_many_tasks(spark, frame, tmp_path):
+    square = [[[[0.0, 0.0], [1.0, 0.0], [0.0, 1.0], [0.0, 0.0]]]]
+    keys = [*(f"k {i}" for i in range(60)), "k 7", None]
+    rows = frame([(k, f"n{i}", square) for i, k in enumerate(keys)], "key string, unit_name string, polygons array<array<array<array<double>>>>")
+    sinks.write_boundaries(rows.coalesce(1), str(tmp_path / "out"), ["unit_name"], files_per_task=10)
+    files = [*(tmp_path / "out" / "by_key").glob("key=*/part-*")]
+    assert len(files) == 61 and len({f.name.split("-")[1] for f in files}) > 3
+
+    group = "files-of-keys"
+    spark.sparkContext.setJobGroup(group, group)
+    with session.listing_in(spark, 8):
+        assert spark.read.text(str(tmp_path / "out" / "by_key")).count() == 62
+    listing = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    assert spark.conf.get(listing, None) is None
+    tracker = spark.sparkContext.statusTracker()
+    first = tracker.getJobInfo(min(tracker.getJobIdsForGroup(group)))
+    assert tracker.getStageInfo(first.stageIds[0]).numTasks == 8  # not one for each of 61 folders
+
+    back = documents.feature_polygons(documents.read_boundaries_by_key(spark, str(tmp_path / "out" / "by_key")))
+    got = sorted((r.key, r.properties.unit_name, r.polygons) for r in back.collect())
+    escaped = [(k or "__HIVE_DEFAULT_PARTITION__").replace(" ", "%20") for k in keys]
+    assert got == sorted((k, f"n{i}", square) for i, k in enumerate(escaped))
+
+
 def test_layer_reads_only_what_it_needs(frame, spark, tmp_path):
     path = str(tmp_path / "layer")
     frame([("a", "NPS", 1.0), ("b", "BLM", 2.0)], "Unit_Nm string, Mang_Name string, GIS_Acres double").write.parquet(path)

@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,6 +51,25 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+@contextmanager
+def listing_in(spark: SparkSession, tasks: int) -> Iterator[None]:
+    """Paths read inside are listed by at most so many tasks, or two a core if these are more.
+
+    Spark lists many folders by up to 10,000 tasks; a folder takes far less than starting a task for it.
+    """
+    name = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before = spark.conf.get(name, None)
+    most = max(tasks, 2 * spark.sparkContext.defaultParallelism)
+    spark.conf.set(name, str(min(most, int(before or most))))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 def broadcast_within(df: DataFrame, max_rows: int) -> DataFrame:
     """Mark for broadcast if the frame is counted to have at most ``max_rows`` rows.
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.geometry import geojson_polygons
-from tidemark.session import materialise
+from tidemark.session import listing_in, materialise
 
 _PROPERTIES = (
     "struct<slug:string, unit_name:string, state:string, area_km2:double, source:string, "
@@ -20,6 +20,8 @@ _FEATURE = f"struct<type:string, geometry:{_GEOMETRY}, properties:{_PROPERTIES}>
 BOUNDARY_SCHEMA = (
     f"struct<type:string, features:array<{_FEATURE}>, geometry:{_GEOMETRY}, properties:{_PROPERTIES}>"
 )
+#: tasks that list the folders of keys
+LISTING_TASKS = 200
 
 
 def parse_boundaries(texts: DataFrame, text: str = "value", keep: Sequence[str] = ("key",)) -> DataFrame:
@@ -46,6 +48,16 @@ def read_boundaries(spark: SparkSession, path: str) -> DataFrame:
     return parse_boundaries(texts.select(key.alias("key"), "value"))
 
 
+def read_boundaries_by_key(spark: SparkSession, path: str, key: str = "key") -> DataFrame:
+    """The folder per key that ``write_boundaries`` writes, as ``key, features``; a line is a row.
+
+    The key is taken from the path as text, so Spark need not look for partitions in all paths.
+    """
+    with listing_in(spark, LISTING_TASKS):
+        texts = spark.read.option("recursiveFileLookup", True).text(path)
+    return parse_boundaries(texts.select(F.regexp_extract("_metadata.file_path", f"{key}=([^/]+)/[^/]+$", 1).alias("key"), "value"))
+
+
 def feature_polygons(boundaries: DataFrame, keep: Sequence[str] = ("key",)) -> DataFrame:
     """One row per feature with its properties and ``polygons``."""
     each = boundaries.select(*keep, F.posexplode("features").alias("feature", "f"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -12,6 +13,9 @@ from tidemark.functions.values import numbers_finite
 from tidemark.session import materialise
 from tidemark.spec import DATASET_COLUMNS
 
+#: files of single keys that a task writes: a small file costs milliseconds, however few bytes it has
+FILES_PER_TASK = 500
+
 
 def export_columns(df: DataFrame, datasets: Sequence[str], keep: Sequence[str] = ("date",)) -> DataFrame:
     """Every declared column of the data sources, in order; those the frame lacks are NULL.
@@ -80,11 +84,14 @@ def feature_text(
 
 
 def write_boundaries(
-    boundaries: DataFrame, path: str, properties: Sequence[str], key: str = "key", folders: bool = True
+    boundaries: DataFrame, path: str, properties: Sequence[str], key: str = "key", folders: bool = True,
+    files_per_task: int = FILES_PER_TASK,
 ) -> None:
     """All features as newline-delimited GeoJSON, and a FeatureCollection per key.
 
-    With very many keys, ``folders=False`` leaves out the small file for each.
+    Tasks for the files of keys are made by their number, since all of them together have few bytes. A key of very many
+    features is dealt in blocks of them, to a file each. With very many keys, ``folders=False`` leaves out the small
+    file for each.
     """
     features = feature_text(boundaries, properties, (key,))
     if not folders:
@@ -93,4 +100,7 @@ def write_boundaries(
     features = materialise(features, "features")  # written in two forms
     features.select("value").write.text(f"{path}/all_keys")
     collection = F.concat(F.lit('{"type":"FeatureCollection","features":['), "value", F.lit("]}"))
-    features.select(key, collection.alias("value")).write.partitionBy(key).text(f"{path}/by_key")
+    tasks = max(1, math.ceil(features.count() / files_per_task))
+    block = F.shiftright(F.monotonically_increasing_id(), 16)  # 65,536 stored rows
+    dealt = features.select(key, collection.alias("value"), block.alias("_block")).repartition(tasks, key, "_block")
+    dealt.drop("_block").write.partitionBy(key).text(f"{path}/by_key")
